@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Members listed in one row, on average, before a group is spread over several.
@@ -33,25 +33,24 @@ def in_bounded_copies(members: DataFrame, copies: str, limit: int = GROUP_LIMIT)
 
     Adds ``_piece``, the number of the row among those made from one.
     """
-    last = ((F.col(copies) - 1) / limit).cast("bigint")
+    last = F.floor((F.col(copies) - 1) / limit)
     left = F.col(copies) - F.col("_piece") * limit
-    return members.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn(
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    return members.withColumn("_piece", pieces).withColumn(
         copies, F.least(left, F.lit(limit).cast("bigint"))
     )
 
 
-def duplicates(rows: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+def duplicates(rows: DataFrame, keys: Sequence[str], nullable: str, count: str) -> DataFrame:
     """Members of the groups that have more than one, with the size of their group as ``count``.
 
-    NULL is a key value like any other here.
+    Groups are made of ``keys`` and of the string column ``nullable``, where NULL is a value like
+    any other. It stands as two plain columns meanwhile, so that counting and the join that
+    fetches the members can use the same partitioning.
     """
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
-    right = counted.select(*(F.col(key).alias(f"_{key}") for key in keys), count)
-    return rows.join(right, _same(keys)).drop(*(f"_{key}" for key in keys))
-
-
-def _same(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    return condition
+    known = rows.withColumn("_text", F.coalesce(F.col(nullable), F.lit(""))).withColumn(
+        "_null", F.col(nullable).isNull()
+    )
+    group = [*keys, "_text", "_null"]
+    counted = known.groupBy(*group).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
+    return known.join(counted, group).drop("_text", "_null")

@@ -199,7 +199,7 @@ def duplicate_str_inward_invoice(
         .select("tenant", "invoice_no", "id", "status", "created_on", "created_by", "total")
     )
     members = in_bounded_groups(
-        duplicates(invoices, ["tenant", "invoice_no"], "total_count"),
+        duplicates(invoices, ["tenant"], "invoice_no", "total_count"),
         "total_count",
         ["id"],
         group_limit,
@@ -232,44 +232,43 @@ def multi_cn_for_str_inward(
 ) -> DataFrame:
     """Live return invoices with more than one debit note; lists are in order of the notes.
 
-    Equal notes are counted before they are moved. An invoice with more than ``group_limit`` notes
-    has several rows that share its ``total_debit_note_numbers`` and list different notes.
+    Notes are fetched only for the invoices reported, and equal ones are counted before they are
+    listed. An invoice with more than ``group_limit`` notes has several rows that share its
+    ``total_debit_note_numbers`` and list different notes.
     """
     order = ["tenant", "return_order_id"]
-    notes = (
-        tables["debitnote"]
-        .where(F.col("note_type").isin(values.RETURN_NOTES))
-        .groupBy(*order, "debit_note_number", "credit_note_number")
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.min("note_type").alias("note_type"),
-            F.min("partner_detail_id").alias("partner_detail_id"),
-        )
-    )
+    by_note = ["debit_note_number", "credit_note_number"]
+    notes = tables["debitnote"].where(F.col("note_type").isin(values.RETURN_NOTES))
     several = (
         notes.groupBy(*order)
         .agg(
-            F.min("note_type").alias("note_type"),
-            F.min("partner_detail_id").alias("partner_detail_id"),
             F.countDistinct("debit_note_number").alias("total_debit_note_numbers"),
-            F.sum("copies").alias("_size"),
+            F.count(F.lit(1)).alias("_size"),
         )
         .where(F.col("total_debit_note_numbers") > 1)
     )
     invoices = _return_invoices(tables, since).where(is_live())
     reported = present_in(several, invoices, {"tenant": "tenant", "return_order_id": "id"})
-    members = in_bounded_copies(
-        notes.drop("note_type", "partner_detail_id").join(reported, order), "copies", group_limit
+    members = (
+        notes.join(reported, order)
+        .groupBy(*order, "total_debit_note_numbers", "_size", *by_note)
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.min("note_type").alias("note_type"),
+            F.min("partner_detail_id").alias("partner_detail_id"),
+        )
     )
     parts = in_bounded_groups(
-        members, "_size", ["debit_note_number", "credit_note_number", "_piece"], group_limit
+        in_bounded_copies(members, "copies", group_limit),
+        "_size",
+        [*by_note, "_piece"],
+        group_limit,
     )
-    by_note = ["debit_note_number", "credit_note_number"]
     return (
-        parts.groupBy(
-            *order, "note_type", "partner_detail_id", "total_debit_note_numbers", "_part"
-        )
+        parts.groupBy(*order, "total_debit_note_numbers", "_part")
         .agg(
+            F.min("note_type").alias("note_type"),
+            F.min("partner_detail_id").alias("partner_detail_id"),
             concat_all("debit_note_number", by_note, "copies").alias("debit_note_numbers"),
             concat_all("credit_note_number", by_note, "copies").alias("credit_note_numbers"),
         )

@@ -1,0 +1,165 @@
+"""Every query against the same in SQL, and against the counts the derivation is known to give."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+
+TABLES = ["nation", "customer", "orders", "lineitem", "events"]
+
+#: Rows at sf0.001 and sf0.01.
+COUNTS = {
+    "active_tenants": (23, 23),
+    "tenant_lookup": (25, 25),
+    "partner_destination": (1276, 11958),
+    "tenant_query": (87, 871),
+    "tenant_query_each": (87, 871),
+    "ucode_missing_dc_not_generated": (445, 4129),
+    "ucode_missing_dc_generated": (992, 9406),
+    "invalid_invoice_in_pr": (93, 813),
+    "dc_created_str_not_created": (42, 398),
+    "duplicate_str_inward_invoice": (29, 159),
+    "pr_sales_without_note": (31, 356),
+    "non_regular_vendor_type": (232, 2147),
+    "str_amount_mismatch": (339, 3451),
+    "str_return_quantity_diff": (374, 3509),
+    "multi_cn_for_str_inward": (48, 586),
+    "no_cn_for_str_inward": (105, 1030),
+    "csv_report_roundtrip": (374, 3509),
+    "recon_status": (966, 9183),
+    "recon_summary": (23, 23),
+}
+
+
+def database(sf: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        path = f"/root/testdata/sf{sf}/{table}.parquet"
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_its_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql()) == set(COUNTS)
+
+
+@pytest.mark.parametrize("name", sorted(COUNTS))
+def test_query_equals_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.01"
+    frame = driver.queries()[name](spark, sf_dir)
+    columns = sorted(frame.columns)
+    got = Counter(tuple(row[c] for c in columns) for row in frame.collect())
+
+    result = database("0.01").execute(driver.oracle_sql()[name])
+    names = [column[0] for column in result.description]
+    assert sorted(names) == columns
+    order = [names.index(c) for c in columns]
+    expected = Counter(tuple(row[i] for i in order) for row in result.fetchall())
+
+    assert got == expected
+    assert sum(got.values()) == COUNTS[name][1]
+
+
+@pytest.mark.parametrize("name", sorted(COUNTS))
+def test_count_at_the_smallest_scale(name):
+    (count,) = (
+        database("0.001").execute(f"SELECT count(*) FROM ({driver.oracle_sql()[name]})").fetchone()
+    )
+    assert count == COUNTS[name][0]
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() == COUNTS["str_return_quantity_diff"][0]
+
+
+def test_statuses(spark):
+    frame = driver.queries()["recon_status"](spark, "/root/testdata/sf0.01")
+    counts = {row[0]: row[1] for row in frame.groupBy("issue").count().collect()}
+    assert counts == {None: 5674, "NOT_INWARDED": 2517, "QUANTITY_DIFFERENT": 992}
+
+
+#: Wrong variants of the SQL and the counts they give: the derived tables tell them apart.
+MUTATIONS = {
+    "keep NULL types": (
+        "invalid_invoice_in_pr",
+        "pi.pr_type <> 'REGULAR_EASYSOL'",
+        "coalesce(pi.pr_type, '') <> 'REGULAR_EASYSOL'",
+        1077,
+    ),
+    "NULL purchase type is a transfer": (
+        "invalid_invoice_in_pr",
+        "'StockTransfer'), FALSE)",
+        "'StockTransfer'), TRUE)",
+        954,
+    ),
+    "invoice at the destination": (
+        "invalid_invoice_in_pr",
+        "ON ii.tenant = pi.tenant AND ii.id",
+        "ON ii.tenant = pm.dest_tenant AND ii.id",
+        2201,
+    ),
+    "no tenant excluded": (
+        "invalid_invoice_in_pr",
+        "AND pi.tenant NOT IN ('th024', 'ar023')",
+        "",
+        837,
+    ),
+    "keep NULL purchase types": (
+        "ucode_missing_dc_generated",
+        "ii.purchase_type NOT IN",
+        "coalesce(ii.purchase_type, '') NOT IN",
+        5889,
+    ),
+    "codes not padded": (
+        "ucode_missing_dc_generated",
+        "lpad(it.ucode, 6, '0')",
+        "it.ucode",
+        9972,
+    ),
+    "codes padded": (
+        "str_return_quantity_diff",
+        "r.code = s.ucode",
+        "r.code = lpad(s.ucode, 6, '0')",
+        2861,
+    ),
+    "only what was received": ("str_return_quantity_diff", "LEFT JOIN received", "JOIN received", 992),
+    "case of the status": ("str_return_quantity_diff", "lower(pi.status)", "pi.status", 3763),
+    "tolerance included": ("str_amount_mismatch", "abs(diff) > 1.0", "abs(diff) >= 1.0", 4401),
+    "keep unmatched prefix": (
+        "dc_created_str_not_created",
+        "AND pi.debit_note_number NOT LIKE 'PE%'",
+        "",
+        437,
+    ),
+    "only live duplicates": (
+        "duplicate_str_inward_invoice",
+        "lower(ii.status) NOT IN ('cancelled', 'deleted')",
+        "lower(ii.status) = 'live'",
+        136,
+    ),
+    "any note type": (
+        "no_cn_for_str_inward",
+        "AND d.note_type IN ('ICS_RETURN', 'ST_RETURN')",
+        "",
+        934,
+    ),
+    "every tenant": (
+        "multi_cn_for_str_inward",
+        "WHERE is_setup = 1",
+        "",
+        637,
+    ),
+}
+
+
+@pytest.mark.parametrize("variant", sorted(MUTATIONS))
+def test_the_tables_tell_a_wrong_variant(variant):
+    name, right, wrong, count = MUTATIONS[variant]
+    sql = driver.oracle_sql()[name]
+    assert right in sql
+    (got,) = (
+        database("0.01").execute(f"SELECT count(*) FROM ({sql.replace(right, wrong)})").fetchone()
+    )
+    assert got == count != COUNTS[name][1]

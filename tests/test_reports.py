@@ -1,0 +1,560 @@
+"""Hand-made rows for the rules the derived tables do not reach, one or two reports at a time."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from conftest import DAY, values
+from crosstally import REPORTS, report, run_report
+
+MISSING = ("tenant", "partner_detail_id", "ucode", "dest_tenant")
+
+
+# Item codes ---------------------------------------------------------------------------------
+
+
+def test_received_code_is_not_missing(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{}],
+        inward_invoice=[{}],
+        inward_invoice_item=[{}],
+    )
+    assert run_report("ucode_missing_dc_generated", cat).count() == 0
+
+
+def test_code_bought_elsewhere_only_is_missing(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{}],
+        inward_invoice=[{"tenant": "th001"}],
+        inward_invoice_item=[{"tenant": "th001"}],
+    )
+    got = values(run_report("ucode_missing_dc_generated", cat), *MISSING)
+    assert got == [("th001", "900", "000007", "ar002")]
+
+
+@pytest.mark.parametrize("note", [None, ""])
+def test_null_and_empty_are_no_note(tables, note):
+    cat = tables(purchase_issue=[{"debit_note_number": note}], purchase_issue_item=[{}])
+    assert run_report("ucode_missing_dc_not_generated", cat).count() == 1
+    assert run_report("ucode_missing_dc_generated", cat).count() == 0
+
+
+def test_code_is_padded_and_cut_on_the_sending_side_only(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{"ucode": "7"}, {"ucode": "1234567"}, {"ucode": "8"}],
+        inward_invoice=[{}],
+        inward_invoice_item=[{"code": "000007"}, {"code": "123456"}, {"code": "8"}],
+    )
+    got = values(run_report("ucode_missing_dc_generated", cat), "ucode")
+    assert got == [("000008",)]
+
+
+def test_null_code_is_never_received(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{"ucode": None}, {"ucode": None}],
+        inward_invoice=[{}],
+        inward_invoice_item=[{"code": None}],
+    )
+    assert values(run_report("ucode_missing_dc_generated", cat), "ucode") == [(None,)]
+
+
+@pytest.mark.parametrize("purchase_type", ["ICSReturn", "StockTransferReturn", None])
+def test_returns_and_untyped_invoices_are_no_purchase(tables, purchase_type):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{}],
+        inward_invoice=[{"purchase_type": purchase_type}],
+        inward_invoice_item=[{}],
+    )
+    assert run_report("ucode_missing_dc_generated", cat).count() == 1
+
+
+@pytest.mark.parametrize(
+    "status, kept",
+    [
+        ("CREATED", 1),
+        ("cancelled", 0),
+        ("Cancelled", 0),
+        ("DELETED", 0),
+        ("deleted", 0),
+        (None, 0),
+    ],
+)
+def test_status_of_the_issue(tables, status, kept):
+    cat = tables(purchase_issue=[{"status": status}], purchase_issue_item=[{}])
+    assert run_report("ucode_missing_dc_generated", cat).count() == kept
+
+
+def test_destination_needs_no_registry_entry_but_the_source_does(tables):
+    cat = tables(
+        partner_map=[{"partner_detail_id": "900", "dest_tenant": "xx999"}],
+        purchase_issue=[{}, {"tenant": "th003"}],
+        purchase_issue_item=[{}, {"tenant": "th003"}],
+    )
+    got = values(run_report("ucode_missing_dc_generated", cat), "tenant", "dest_tenant")
+    assert got == [("th001", "xx999")]
+
+
+def test_items_of_another_tenant_with_the_same_id_are_not_joined(tables):
+    cat = tables(purchase_issue=[{}], purchase_issue_item=[{"tenant": "ar002"}])
+    assert run_report("ucode_missing_dc_generated", cat).count() == 0
+
+
+def test_floor_is_inclusive(tables):
+    cat = tables(
+        purchase_issue=[
+            {"id": 1, "created_on": datetime(2025, 8, 25, 23, 59, 59)},
+            {"id": 2, "created_on": datetime(2025, 8, 26)},
+        ],
+        purchase_issue_item=[
+            {"purchase_issue_id": 1, "ucode": "1"},
+            {"purchase_issue_id": 2, "ucode": "2"},
+        ],
+    )
+    assert values(run_report("ucode_missing_dc_generated", cat), "ucode") == [("000002",)]
+
+
+def test_partner_ids_are_compared_as_text(spark, tables):
+    from crosstally.sources.catalog import Catalog
+
+    cat = tables(purchase_issue_item=[{}])
+    frames = {name: cat[name] for name in cat}
+    issues = tables(purchase_issue=[{}])["purchase_issue"]
+    frames["purchase_issue"] = issues.withColumn(
+        "partner_detail_id", issues.partner_detail_id.cast("bigint")
+    )
+    got = values(run_report("ucode_missing_dc_generated", Catalog.of(frames)), *MISSING)
+    assert got == [("th001", "900", "000007", "ar002")]
+
+
+# Invoice references -------------------------------------------------------------------------
+
+
+def invalid(tables, issue, *invoices):
+    cat = tables(purchase_issue=[{"invoice_id": 5, **issue}], inward_invoice=list(invoices))
+    return run_report("invalid_invoice_in_pr", cat)
+
+
+OWN = {"tenant": "th001", "id": 5}
+
+
+@pytest.mark.parametrize(
+    "invoice, reported",
+    [
+        ({**OWN}, 0),
+        ({**OWN, "id": 6}, 1),
+        ({**OWN, "tenant": "ar002"}, 1),
+        ({**OWN, "partner_detail_id": "901"}, 1),
+        ({**OWN, "partner_detail_id": None}, 1),
+        ({**OWN, "partner_detail_id": "901", "purchase_type": "StockTransfer"}, 1),
+        ({**OWN, "partner_detail_id": "901", "purchase_type": "REGULAR"}, 0),
+        ({**OWN, "partner_detail_id": "901", "purchase_type": None}, 0),
+        ({**OWN, "status": "CANCELLED"}, 0),
+    ],
+)
+def test_invoice_reference(tables, invoice, reported):
+    assert invalid(tables, {}, invoice).count() == reported
+
+
+@pytest.mark.parametrize(
+    "issue, reported",
+    [
+        ({}, 1),
+        ({"invoice_id": None}, 0),
+        ({"pr_type": None}, 0),
+        ({"pr_type": "REGULAR_EASYSOL"}, 0),
+        ({"partner_detail_id": "901"}, 0),
+        ({"tenant": "th303"}, 0),
+    ],
+)
+def test_issue_whose_reference_is_checked(tables, issue, reported):
+    registry = [{"tenant": "th001"}, {"tenant": "th303"}]
+    cat = tables(tenant_registry=registry, purchase_issue=[{"invoice_id": 5, **issue}])
+    assert run_report("invalid_invoice_in_pr", cat).count() == reported
+
+
+@pytest.mark.parametrize("named, same", [("th001", True), ("ar002", False), (None, False)])
+def test_invoice_tenant(tables, named, same):
+    rows = values(
+        invalid(tables, {"invoice_tenant": named}), "invoice_tenant", "is_invoice_tenant_same"
+    )
+    assert rows == [(named, same)]
+
+
+# Notes without an invoice -------------------------------------------------------------------
+
+
+def unmatched(tables, issues, items=({},), invoices=()):
+    cat = tables(
+        purchase_issue=list(issues),
+        purchase_issue_item=list(items),
+        inward_invoice=list(invoices),
+    )
+    return values(
+        run_report("dc_created_str_not_created", cat),
+        "source_debit_note_number",
+        "dest_tenant",
+        "source_tenant",
+    )
+
+
+@pytest.mark.parametrize(
+    "note, reported", [("DC1", 1), ("", 1), (None, 0), ("PE1", 0), ("pe1", 1), ("XPE", 1)]
+)
+def test_notes_looked_up(tables, note, reported):
+    assert len(unmatched(tables, [{"debit_note_number": note}])) == reported
+
+
+@pytest.mark.parametrize(
+    "invoice, reported",
+    [
+        ({}, 0),
+        ({"purchase_type": None}, 0),
+        ({"status": "draft"}, 0),
+        ({"status": "CANCELLED"}, 1),
+        ({"status": "cancelled"}, 1),
+        ({"status": None}, 1),
+        ({"invoice_no": "dc1"}, 1),
+        ({"tenant": "th001"}, 1),
+    ],
+)
+def test_invoice_that_answers_a_note(tables, invoice, reported):
+    assert len(unmatched(tables, [{}], invoices=[invoice])) == reported
+
+
+def test_note_needs_an_item_and_is_listed_once(tables):
+    issues = [{"id": 1}, {"id": 2}, {"id": 3, "debit_note_number": "DC3"}]
+    items = [{"purchase_issue_id": 1}, {"purchase_issue_id": 1}, {"purchase_issue_id": 2}]
+    assert unmatched(tables, issues, items) == [("DC1", "ar002", "th001")]
+
+
+def test_note_floor_is_on_the_invoice_date(tables):
+    early = datetime(2025, 8, 1)
+    assert unmatched(tables, [{"invoice_date": early}]) == []
+    assert unmatched(tables, [{"created_on": early}]) == [("DC1", "ar002", "th001")]
+
+
+def test_note_under_two_partners_is_listed_for_each(tables):
+    cat = tables(
+        partner_map=[
+            {"partner_detail_id": "900", "dest_tenant": "ar002"},
+            {"partner_detail_id": "901", "dest_tenant": "ar002"},
+        ],
+        purchase_issue=[{"id": 1}, {"id": 2, "partner_detail_id": "901"}],
+        purchase_issue_item=[{"purchase_issue_id": 1}, {"purchase_issue_id": 2}],
+    )
+    assert run_report("dc_created_str_not_created", cat).count() == 2
+
+
+# Totals -------------------------------------------------------------------------------------
+
+QUANTITIES = ("totalQuantityInPurchaseIssue", "totalQuantityInInwardInvoice", "diff")
+AMOUNTS = ("totalAmountInPurchaseIssue", "totalAmountInInwardInvoice", "diff")
+
+
+def sent_and_received(tables, sent, received, invoice=None):
+    return tables(
+        purchase_issue=[{}],
+        purchase_issue_item=sent,
+        inward_invoice=[invoice or {}],
+        inward_invoice_item=received,
+    )
+
+
+def test_equal_quantities_are_not_reported(tables):
+    cat = sent_and_received(tables, [{}], [{}])
+    assert run_report("str_return_quantity_diff", cat).count() == 0
+
+
+def test_quantity_difference_is_received_minus_sent(tables):
+    cat = sent_and_received(tables, [{}, {}], [{"quantity": Decimal(4)}])
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(20, 4, -16)]
+
+
+def test_nothing_received_counts_as_zero(tables):
+    cat = sent_and_received(tables, [{}], [])
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(10, 0, -10)]
+
+
+def test_fractions_are_cut_off_the_total(tables):
+    cat = sent_and_received(
+        tables,
+        [{"return_quantity": Decimal("1.6")}, {"return_quantity": Decimal("1.6")}],
+        [{"quantity": Decimal("3.9")}],
+    )
+    assert run_report("str_return_quantity_diff", cat).count() == 0
+    cat = sent_and_received(
+        tables, [{"return_quantity": Decimal("-1.9")}], [{"quantity": Decimal("-0.9")}]
+    )
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(-1, 0, 1)]
+
+
+def test_null_quantities_count_as_zero(tables):
+    cat = sent_and_received(tables, [{"return_quantity": None}], [{"quantity": Decimal(2)}])
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(0, 2, 2)]
+
+
+@pytest.mark.parametrize("column, code", [("ucode", "code"), ("batch", "batch")])
+def test_null_keys_never_meet(tables, column, code):
+    cat = sent_and_received(tables, [{column: None}], [{code: None}])
+    got = values(run_report("str_return_quantity_diff", cat), column, *QUANTITIES)
+    assert got == [(None, 10, 0, -10)]
+
+
+def test_codes_are_not_padded_in_totals(tables):
+    cat = sent_and_received(tables, [{"ucode": "7"}], [{"code": "000007"}])
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(10, 0, -10)]
+
+
+def test_all_invoices_of_the_number_count_whatever_their_partner_type_or_day(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{}],
+        inward_invoice=[
+            {"id": 1, "partner_detail_id": "5", "created_on": datetime(2020, 1, 1)},
+            {"id": 2, "purchase_type": "ICSReturn"},
+            {"id": 3, "status": "DELETED"},
+        ],
+        inward_invoice_item=[
+            {"invoice_id": 1, "quantity": Decimal(3)},
+            {"invoice_id": 2, "quantity": Decimal(4)},
+            {"invoice_id": 3, "quantity": Decimal(5)},
+        ],
+    )
+    assert values(run_report("str_return_quantity_diff", cat), *QUANTITIES) == [(10, 7, -3)]
+
+
+def test_two_sources_of_one_note_are_compared_with_the_same_total(tables):
+    cat = tables(
+        tenant_registry=[{"tenant": "th001"}, {"tenant": "th005"}],
+        purchase_issue=[{}, {"tenant": "th005"}],
+        purchase_issue_item=[{}, {"tenant": "th005", "return_quantity": Decimal(6)}],
+        inward_invoice=[{}],
+        inward_invoice_item=[{"quantity": Decimal(16)}],
+    )
+    got = values(run_report("str_return_quantity_diff", cat), "tenant", *QUANTITIES)
+    assert got == [("th001", 10, 16, 6), ("th005", 6, 16, 10)]
+
+
+@pytest.mark.parametrize(
+    "issue", [{"debit_note_number": ""}, {"debit_note_number": None}, {"pr_type": None}]
+)
+def test_issues_without_a_note_or_type_are_not_compared(tables, issue):
+    cat = tables(purchase_issue=[issue], purchase_issue_item=[{}])
+    assert run_report("str_return_quantity_diff", cat).count() == 0
+
+
+@pytest.mark.parametrize(
+    "received, reported",
+    [("100.00", 0), ("101.00", 0), ("99.00", 0), ("101.01", 1), ("98.99", 1)],
+)
+def test_amount_tolerance(tables, received, reported):
+    cat = sent_and_received(tables, [{}], [{"net_amount": Decimal(received)}])
+    assert run_report("str_amount_mismatch", cat).count() == reported
+
+
+def test_amount_difference_has_no_sign_and_ignores_quantity(tables):
+    cat = sent_and_received(
+        tables, [{}], [{"net_amount": Decimal("40.50"), "quantity": Decimal(1)}]
+    )
+    got = values(run_report("str_amount_mismatch", cat), *AMOUNTS)
+    assert got == [(Decimal("100.00"), Decimal("40.50"), Decimal("59.50"))]
+
+
+def test_status_and_summary(tables):
+    cat = tables(
+        purchase_issue=[{}],
+        purchase_issue_item=[{"batch": "ok"}, {"batch": "none"}, {"batch": "less"}],
+        inward_invoice=[{}],
+        inward_invoice_item=[{"batch": "ok"}, {"batch": "less", "quantity": Decimal(9)}],
+    )
+    got = values(run_report("recon_status", cat), "batch", "validation_status", "issue")
+    assert got == [
+        ("less", "FAIL", "QUANTITY_DIFFERENT"),
+        ("none", "FAIL", "NOT_INWARDED"),
+        ("ok", "PASS", None),
+    ]
+    got = values(
+        run_report("recon_summary", cat), "tenant", "checked", "failed", "failed_percent"
+    )
+    assert got == [("th001", 3, 2, 66.67)]
+
+
+# Invoices and their notes -------------------------------------------------------------------
+
+RETURN = {"purchase_type": "ICSReturn"}
+
+
+def test_duplicates_are_listed_in_id_order(tables):
+    cat = tables(
+        inward_invoice=[
+            {**RETURN, "id": 3, "created_by": "b", "total": Decimal("3.50"), "status": "live"},
+            {**RETURN, "id": 1, "created_by": "a", "total": Decimal("1.00"), "status": "draft"},
+            {**RETURN, "id": 2, "created_by": "b", "total": None, "status": "live"},
+            {**RETURN, "id": 4, "invoice_no": "DC2"},
+            {**RETURN, "id": 5, "status": "DELETED"},
+            {"id": 6, "purchase_type": "ICS"},
+            {**RETURN, "id": 7, "tenant": "th001"},
+        ]
+    )
+    got = run_report("duplicate_str_inward_invoice", cat).collect()
+    assert [row.asDict() for row in got] == [
+        {
+            "tenant": "ar002",
+            "invoice_no": "DC1",
+            "statuses": "draft, live",
+            "created_ons": "2025-09-10 00:00:00, 2025-09-10 00:00:00, 2025-09-10 00:00:00",
+            "created_by": "a, b",
+            "total_amount_invoice": "1.00, 3.50",
+            "total_count": 3,
+        }
+    ]
+
+
+def test_invoices_without_a_number_are_one_group_apart_from_the_empty_number(tables):
+    cat = tables(
+        inward_invoice=[
+            {**RETURN, "id": 1, "invoice_no": None, "total": None, "created_by": None},
+            {**RETURN, "id": 2, "invoice_no": None, "total": None, "created_by": None},
+            {**RETURN, "id": 3, "invoice_no": ""},
+        ]
+    )
+    got = values(
+        run_report("duplicate_str_inward_invoice", cat),
+        "invoice_no",
+        "created_by",
+        "total_amount_invoice",
+        "total_count",
+    )
+    assert got == [(None, None, None, 2)]
+
+
+def test_several_notes(tables):
+    cat = tables(
+        inward_invoice=[
+            {**RETURN, "id": 1},
+            {**RETURN, "id": 2},
+            {**RETURN, "id": 3, "status": "draft"},
+            {"id": 4, "purchase_type": "ICS"},
+        ],
+        debitnote=[
+            {"debit_note_number": "DN2", "credit_note_number": "CN3"},
+            {"debit_note_number": "DN1", "note_type": "ST_RETURN", "partner_detail_id": "5"},
+            {"debit_note_number": "DN1", "credit_note_number": None},
+            {"debit_note_number": "DN9", "note_type": "OTHER"},
+            {"debit_note_number": None, "credit_note_number": "CN7"},
+            {"return_order_id": 2},
+            {"return_order_id": 2, "credit_note_number": "CN2"},
+            {"return_order_id": 3, "debit_note_number": "DN1"},
+            {"return_order_id": 3, "debit_note_number": "DN2"},
+            {"return_order_id": 4, "debit_note_number": "DN1"},
+            {"return_order_id": 4, "debit_note_number": "DN2"},
+            {"tenant": "th001", "debit_note_number": "DN5"},
+        ],
+    )
+    got = run_report("multi_cn_for_str_inward", cat).collect()
+    assert [row.asDict() for row in got] == [
+        {
+            "return_order_id": 1,
+            "note_type": "ICS_RETURN",
+            "partner_detail_id": "5",
+            "debit_note_numbers": "DN1, DN1, DN2",
+            "credit_note_numbers": "CN7, CN1, CN3",
+            "total_debit_note_numbers": 2,
+            "tenant": "ar002",
+        }
+    ]
+
+
+def test_no_credit_note_at_all_gives_null(tables):
+    cat = tables(
+        inward_invoice=[{**RETURN}],
+        debitnote=[
+            {"debit_note_number": "DN1", "credit_note_number": None},
+            {"debit_note_number": "DN2", "credit_note_number": None},
+        ],
+    )
+    got = values(
+        run_report("multi_cn_for_str_inward", cat), "debit_note_numbers", "credit_note_numbers"
+    )
+    assert got == [("DN1, DN2", None)]
+
+
+@pytest.mark.parametrize(
+    "note, reported",
+    [
+        ({}, 0),
+        ({"debit_note_number": None}, 0),
+        ({"note_type": "OTHER"}, 1),
+        ({"note_type": None}, 1),
+        ({"tenant": "th001"}, 1),
+        ({"return_order_id": 2}, 1),
+    ],
+)
+def test_note_of_a_return_invoice(tables, note, reported):
+    cat = tables(inward_invoice=[{**RETURN}], debitnote=[note])
+    assert run_report("no_cn_for_str_inward", cat).count() == reported
+
+
+# Single tables ------------------------------------------------------------------------------
+
+
+def test_sales_returns(tables):
+    sales = {"pr_type": "PR_SALES"}
+    cat = tables(
+        purchase_issue=[
+            {**sales, "id": 1, "debit_note_number": None, "partner_detail_id": "unmapped"},
+            {**sales, "id": 2, "debit_note_number": ""},
+            {**sales, "id": 3},
+            {"id": 4, "debit_note_number": None},
+            {**sales, "id": 5, "debit_note_number": None, "tenant": "th003"},
+            {**sales, "id": 6, "debit_note_number": None, "status": "DELETED"},
+        ]
+    )
+    got = values(run_report("pr_sales_without_note", cat), "purchase_issue_id")
+    assert got == [(1,), (2,)]
+    assert run_report("pr_sales_without_note", cat, blank_rule="literal").count() == 0
+
+
+def test_vendor_types(tables):
+    cat = tables(
+        pre_purchase_issue_order=[
+            {"id": 1},
+            {"id": 2, "vendor_type": "SECONDARY", "created_on": datetime(2025, 7, 1)},
+            {"id": 3, "vendor_type": "REGULAR"},
+            {"id": 4, "vendor_type": None},
+            {"id": 5, "status": "CANCELLED"},
+            {"id": 6, "created_on": datetime(2025, 6, 30, 23)},
+            {"id": 7, "tenant": "th003"},
+        ]
+    )
+    got = values(run_report("non_regular_vendor_type", cat), "pre_purchase_issue_order_id")
+    assert got == [(1,), (2,)]
+
+
+# The registry -------------------------------------------------------------------------------
+
+
+def test_own_report(tables):
+    @report
+    def live_invoices(tables):
+        return tables["inward_invoice"].where("status = 'live'")
+
+    try:
+        assert run_report("live_invoices", tables(inward_invoice=[{}])).count() == 1
+        with pytest.raises(ValueError):
+            report(live_invoices)
+    finally:
+        del REPORTS["live_invoices"]
+
+
+def test_defaults_take_recent_rows_only(tables):
+    cat = tables(
+        pre_purchase_issue_order=[{"created_on": datetime(2024, 1, 1)}, {"created_on": DAY}]
+    )
+    assert run_report("non_regular_vendor_type", cat).count() == 1
