@@ -7,7 +7,9 @@ the map outgrow it, the same join becomes a shuffled one whose hot partners AQE
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crosstally import values
@@ -23,6 +25,12 @@ def tenant_registry(warehouses: DataFrame, arsenals: DataFrame) -> DataFrame:
     )
 
 
+def partner_map(spark: SparkSession, destinations: Mapping) -> DataFrame:
+    """The destination tenant by partner id, from a mapping of a few hundred entries."""
+    rows = [(str(partner), tenant) for partner, tenant in destinations.items()]
+    return spark.createDataFrame(rows, "partner_detail_id string, dest_tenant string")
+
+
 def active_tenants(registry: DataFrame) -> DataFrame:
     """Tenants that are set up."""
     return registry.where(F.col("is_setup") == 1).select("tenant", "kind")

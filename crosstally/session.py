@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +26,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, memory: str = "8g", name: str = "crosstally") -> SparkSession:
+def local_session(
+    cores: int | str = 8, memory: str = "8g", name: str = "crosstally", **options: str
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,7 +37,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", name: str = "crossta
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.enabled", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -50,4 +53,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="crosstally-")

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -75,6 +78,15 @@ DEFAULTS = {
     },
 }
 
+ARROW = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "timestamp_ntz": pa.timestamp("us"),
+    "decimal(18,2)": pa.decimal128(18, 2),
+    "decimal(18,3)": pa.decimal128(18, 3),
+}
+
 #: th001 sends to ar002 as partner 900; th003 is not set up.
 ALWAYS = {
     "tenant_registry": [
@@ -88,7 +100,10 @@ ALWAYS = {
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, memory="6g", name="tests")
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(
+        8, memory="6g", name="tests", **{"spark.sql.warehouse.dir": warehouse}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -113,15 +128,19 @@ def tables(spark):
     """A catalog of hand-made rows: ``tables(purchase_issue=[{"id": 7}], ...)``."""
 
     def build(**rows) -> Catalog:
-        frames = {}
-        for entity, schema in SCHEMAS.items():
+        assert set(rows) <= set(SCHEMAS), rows.keys()
+
+        def load(entity: str):
+            schema = SCHEMAS[entity]
             given = rows.get(entity, ALWAYS.get(entity, []))
             unknown = {name for row in given for name in row} - set(schema)
             assert not unknown, unknown
             full = [{**DEFAULTS[entity], **row} for row in given]
-            data = [tuple(row.get(name) for name in schema) for row in full]
-            frames[entity] = spark.createDataFrame(data, ddl(entity))
-        return Catalog.of(frames)
+            columns = {name: [row.get(name) for row in full] for name in schema}
+            types = pa.schema([(name, ARROW[kind]) for name, kind in schema.items()])
+            return spark.createDataFrame(pa.table(columns, types), ddl(entity))
+
+        return Catalog(load)
 
     return build
 
@@ -132,9 +151,6 @@ def values(frame, *columns):
 
 
 def plan_of(frame, mode: str = "simple") -> str:
-    import contextlib
-    import io
-
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         frame.explain(mode)

@@ -1,0 +1,70 @@
+"""Groups above the limit are spread over several rows that together list every member."""
+
+import random
+from collections import Counter, defaultdict
+
+from conftest import DAY
+from crosstally import run_report
+
+RETURN = {"purchase_type": "ICSReturn", "created_on": DAY}
+
+
+def test_large_group_of_duplicates_is_listed_whole(tables):
+    invoices = [
+        {**RETURN, "id": i, "invoice_no": None if i % 3 else f"DC{i % 4}", "created_by": f"u{i}"}
+        for i in range(200)
+    ]
+    cat = tables(inward_invoice=invoices)
+    expected = Counter(row["invoice_no"] for row in invoices)
+    users = defaultdict(set)
+    for row in invoices:
+        users[row["invoice_no"]].add(row["created_by"])
+
+    rows = run_report("duplicate_str_inward_invoice", cat, group_limit=20).collect()
+    assert len(rows) > len(expected)
+    listed, named = Counter(), defaultdict(set)
+    for row in rows:
+        assert row.total_count == expected[row.invoice_no]
+        assert len(row.created_ons.split(", ")) == len(row.total_amount_invoice.split(", "))
+        listed[row.invoice_no] += len(row.created_ons.split(", "))
+        assert not named[row.invoice_no] & set(row.created_by.split(", "))
+        named[row.invoice_no] |= set(row.created_by.split(", "))
+    assert listed == expected
+    assert named == users
+
+    whole = run_report("duplicate_str_inward_invoice", cat).collect()
+    assert sorted(row.total_count for row in whole) == sorted(expected.values())
+
+
+def test_large_group_of_notes_is_listed_whole(tables):
+    rng = random.Random(7)
+    notes = [
+        {
+            "return_order_id": rng.choice([1, 1, 1, 2]),
+            "debit_note_number": rng.choice(["DN1", "DN2", "DN3"]),
+            "credit_note_number": rng.choice([None, "CN1", "CN1", "CN1", "CN2"]),
+        }
+        for _ in range(300)
+    ]
+    cat = tables(
+        inward_invoice=[{**RETURN, "id": 1}, {**RETURN, "id": 2}], debitnote=notes
+    )
+    debits, credits = Counter(), Counter()
+    for note in notes:
+        debits[note["return_order_id"], note["debit_note_number"]] += 1
+        if note["credit_note_number"]:
+            credits[note["return_order_id"], note["credit_note_number"]] += 1
+
+    for limit in (1, 7, 1000):
+        rows = run_report("multi_cn_for_str_inward", cat, group_limit=limit).collect()
+        assert (len(rows) == 2) == (limit == 1000)
+        got_debits, got_credits = Counter(), Counter()
+        for row in rows:
+            assert row.total_debit_note_numbers == 3
+            for note in row.debit_note_numbers.split(", "):
+                got_debits[row.return_order_id, note] += 1
+            for note in (row.credit_note_numbers or "").split(", "):
+                if note:
+                    got_credits[row.return_order_id, note] += 1
+        assert got_debits == debits
+        assert got_credits == credits
