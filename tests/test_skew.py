@@ -1,0 +1,123 @@
+"""One key holds a third of all rows: results stay whole, and the join splits the key's partition."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from conftest import plan_of
+from crosstally import Catalog, run_report
+from crosstally.testbed import star_catalog
+from crosstally.testbed.oracle import ENTITIES, ORACLE
+
+PLAIN = "WITH active AS (SELECT tenant, kind FROM tenant_registry WHERE is_setup = 1)"
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """The derived tables with a third of the rows of each moved to one key, written as Parquet."""
+    star = star_catalog(spark, "/root/testdata/sf0.01")
+    third = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(3)) == 0
+
+    def moved(rows, **values):
+        rows = rows.withColumn("_hot", third)
+        for name, value in values.items():
+            rows = rows.withColumn(
+                name, F.when(F.col("_hot"), F.lit(value)).otherwise(F.col(name))
+            )
+        return rows.drop("_hot")
+
+    invoices = star["inward_invoice"]
+    frames = {
+        "tenant_registry": star["tenant_registry"],
+        "partner_map": star["partner_map"],
+        # A third of the issues carry one note and belong to one tenant and partner.
+        "purchase_issue": moved(
+            star["purchase_issue"],
+            tenant="th004",
+            partner_detail_id="5",
+            debit_note_number="DC1003",
+            invoice_id=2000000000000004,
+        ),
+        # A third of the items belong to one issue; that issue stays where it was or not.
+        "purchase_issue_item": moved(
+            star["purchase_issue_item"], tenant="th004", purchase_issue_id=1004, ucode="000077"
+        ),
+        # A third of the invoices have no number, as one group of one tenant.
+        "inward_invoice": moved(
+            invoices.where("id < 1000000000000000"), tenant="th002", invoice_no=None
+        ).unionByName(invoices.where("id >= 1000000000000000")),
+        "inward_invoice_item": moved(
+            star["inward_invoice_item"], tenant="th002", invoice_id=2003, code="000078"
+        ),
+        "debitnote": moved(star["debitnote"], tenant="th002", return_order_id=2005),
+        "pre_purchase_issue_order": star["pre_purchase_issue_order"],
+    }
+    root = str(tmp_path_factory.mktemp("hot"))
+    for entity, rows in frames.items():
+        # Several files, so several map tasks: a hot partition is split between those it came from.
+        rows.repartition(8).write.parquet(f"{root}/{entity}")
+    return root
+
+
+@pytest.fixture
+def small_partitions(conf):
+    """Thresholds under which a third of these small tables counts as skewed, and no broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    conf("spark.sql.shuffle.partitions", "16")
+
+
+@pytest.mark.parametrize("name", sorted(driver.PARAMETERS))
+def test_report_on_hot_keys(spark, hot, small_partitions, name):
+    frame = run_report(name, Catalog.from_parquet(spark, hot), **driver.PARAMETERS[name])
+    columns = sorted(frame.columns)
+    got = Counter(tuple(row[c] for c in columns) for row in frame.collect())
+
+    connection = duckdb.connect()
+    for entity in driver.star_catalog(spark, ""):
+        connection.execute(f"CREATE VIEW {entity} AS SELECT * FROM '{hot}/{entity}/*.parquet'")
+    sql = ORACLE[name]
+    assert sql.startswith(ENTITIES)
+    result = connection.execute(PLAIN + sql[len(ENTITIES) :])
+    order = [[column[0] for column in result.description].index(c) for c in columns]
+    expected = Counter(tuple(row[i] for i in order) for row in result.fetchall())
+    assert got == expected
+    assert got
+
+
+@pytest.mark.parametrize(
+    "name", ["str_return_quantity_diff", "ucode_missing_dc_generated", "duplicate_str_inward_invoice"]
+)
+def test_the_hot_partition_is_split(spark, hot, small_partitions, name):
+    frame = run_report(name, Catalog.from_parquet(spark, hot), **driver.PARAMETERS[name])
+    frame.collect()
+    assert "SortMergeJoin(skew=true)" in plan_of(frame)
+
+
+def test_no_report_pairs_rows_without_a_key(spark, hot, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cat = Catalog.from_parquet(spark, hot)
+    for name, parameters in driver.PARAMETERS.items():
+        plan = plan_of(run_report(name, cat, **parameters))
+        for never in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window"):
+            assert never not in plan, name
+
+
+def test_hot_group_is_spread(spark, hot):
+    rows = run_report(
+        "duplicate_str_inward_invoice",
+        Catalog.from_parquet(spark, hot),
+        since="1995-01-01",
+        group_limit=500,
+    )
+    parts = [row for row in rows.collect() if row.invoice_no is None and row.tenant == "th002"]
+    total = parts[0].total_count
+    sizes = [len(row.created_ons.split(", ")) for row in parts]
+    assert total > 1000 and sum(sizes) == total
+    assert len(parts) == -(-total // 500) and max(sizes) < 2 * 500
