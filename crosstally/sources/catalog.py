@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,17 @@ class Catalog(Mapping[str, DataFrame]):
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> Catalog:
         """``root/<entity>``, for example as :func:`save_by_tenant` writes it."""
-        return cls(lambda entity: spark.read.parquet(f"{root}/{entity}"))
+
+        def load(entity: str) -> DataFrame:
+            try:
+                return spark.read.parquet(f"{root}/{entity}")
+            except AnalysisException as error:
+                # No file was written because no tenant has a row.
+                if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                    raise
+                return spark.createDataFrame([], ddl(entity))
+
+        return cls(load)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str) -> Catalog:
