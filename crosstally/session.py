@@ -9,14 +9,13 @@ from pyspark.sql import SparkSession
 
 #: Runtime settings. None of them changes a result; they keep one hot key from holding up a job.
 SETTINGS = {
+    # Plans again between stages, with measured sizes: a side that turns out small is broadcast.
     "spark.sql.adaptive.enabled": "true",
-    # Lets AQE turn a sort-merge join into a broadcast one once a side is *measured* to be small.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits a join partition that is far larger than the others, also where the split costs the
     # next aggregation its partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -35,6 +34,7 @@ def local_session(
         .appName(name)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
     for key, value in {**SETTINGS, **options}.items():

@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crosstally.sources import jdbc
-from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, conform, ddl
+from crosstally.sources.schemas import (
+    DOCUMENT_FAMILIES,
+    DOCUMENT_KEYS,
+    ENTITIES,
+    conform,
+    ddl,
+)
+
+#: Rows of one document that a task reads without trouble, however few the others have.
+HOT_ROWS = 1_000_000
 
 
 class Catalog(Mapping[str, DataFrame]):
@@ -123,22 +132,44 @@ def save_by_tenant(catalog: Mapping[str, DataFrame], root: str, mode: str = "ove
 
 
 def save_by_document(
-    catalog: Mapping[str, DataFrame], database: str, buckets: int, mode: str = "overwrite"
+    catalog: Mapping[str, DataFrame],
+    database: str,
+    buckets: int,
+    mode: str = "overwrite",
+    hot_rows: int = HOT_ROWS,
 ) -> None:
     """Write each entity as a table bucketed by document, so headers meet their items unshuffled.
 
     The bucket is a hash of tenant and document, so a tenant with a third of all rows still fills
-    every bucket alike. Rows are brought to their bucket before the write: one file per bucket.
+    every bucket alike. A single document of that size would not: its bucket is read by one task and
+    nothing can split it. So the largest document is measured first, and where it has more rows
+    than ``hot_rows`` and than an even bucket, the entities that share it are written without
+    buckets; their joins shuffle, and AQE splits the document.
     """
-    for entity, rows in catalog.items():
-        keys = DOCUMENT_KEYS.get(entity)
-        if keys is None:
-            rows.write.mode(mode).saveAsTable(f"{database}.{entity}")
-            continue
-        (
-            rows.repartition(buckets, *keys)
-            .write.bucketBy(buckets, *keys)
-            .sortBy(*keys)
-            .mode(mode)
-            .saveAsTable(f"{database}.{entity}")
+    for entity in catalog:
+        if entity not in DOCUMENT_KEYS:
+            catalog[entity].write.mode(mode).saveAsTable(f"{database}.{entity}")
+    for family in DOCUMENT_FAMILIES:
+        members = [entity for entity in family if entity in catalog]
+        plain = any(
+            _largest_is_hot(catalog[entity], DOCUMENT_KEYS[entity], buckets, hot_rows)
+            for entity in members
         )
+        for entity in members:
+            rows, keys = catalog[entity], DOCUMENT_KEYS[entity]
+            if plain:
+                rows.write.mode(mode).saveAsTable(f"{database}.{entity}")
+                continue
+            (
+                rows.repartition(buckets, *keys)
+                .write.bucketBy(buckets, *keys)
+                .sortBy(*keys)
+                .mode(mode)
+                .saveAsTable(f"{database}.{entity}")
+            )
+
+
+def _largest_is_hot(rows: DataFrame, keys: tuple[str, ...], buckets: int, hot_rows: int) -> bool:
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    largest, total = sizes.agg(F.max("size"), F.sum("size")).first()
+    return largest is not None and largest > hot_rows and largest * buckets > total

@@ -82,6 +82,22 @@ def test_headers_meet_items_without_a_shuffle_when_bucketed(spark, tables, conf)
     spark.sql("DROP DATABASE bucketed CASCADE")
 
 
+def test_entities_with_a_hot_document_are_not_bucketed(spark, tables):
+    spark.sql("CREATE DATABASE IF NOT EXISTS hot")
+    cat = tables(**{**SENT, "inward_invoice_item": [{"batch": f"B{i}"} for i in range(20)]})
+    save_by_document(cat, "hot", buckets=4, hot_rows=10)
+
+    def bucketed(entity):
+        rows = spark.sql(f"DESCRIBE EXTENDED hot.{entity}").collect()
+        return any(row.col_name == "Num Buckets" for row in rows)
+
+    assert bucketed("purchase_issue") and bucketed("purchase_issue_item")
+    assert not any(bucketed(e) for e in ("inward_invoice", "inward_invoice_item", "debitnote"))
+    report = run_report("str_return_quantity_diff", Catalog.from_tables(spark, "hot"))
+    assert values(report, *NOTE) == REPORTED
+    spark.sql("DROP DATABASE hot CASCADE")
+
+
 def test_columns_are_cast_and_further_ones_kept(spark):
     rows = spark.createDataFrame(
         [("th001", "5", 900, "x")], "tenant string, id string, partner_detail_id int, note string"
