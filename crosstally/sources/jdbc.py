@@ -34,6 +34,8 @@ def connection_options(settings: Mapping[str, Mapping | str], database: str, tab
         "password": config["password"],
         "fetchsize": "10000",
         "pushDownPredicate": "true",
+        # The tables store times without a zone.
+        "preferTimestampNTZ": "true",
     }
 
 

@@ -256,10 +256,10 @@ FROM compared WHERE abs(diff) > 1.0""",
     "multi_cn_for_str_inward": f"""{ENTITIES}, {RETURN_INVOICES}
 SELECT d.return_order_id, min(d.note_type) AS note_type,
        min(d.partner_detail_id) AS partner_detail_id,
-       string_agg(d.debit_note_number, ', '
-                  ORDER BY d.debit_note_number, d.credit_note_number) AS debit_note_numbers,
-       string_agg(d.credit_note_number, ', '
-                  ORDER BY d.debit_note_number, d.credit_note_number) AS credit_note_numbers,
+       string_agg(d.debit_note_number, ', ' ORDER BY d.debit_note_number NULLS FIRST,
+                  d.credit_note_number NULLS FIRST) AS debit_note_numbers,
+       string_agg(d.credit_note_number, ', ' ORDER BY d.debit_note_number NULLS FIRST,
+                  d.credit_note_number NULLS FIRST) AS credit_note_numbers,
        count(DISTINCT d.debit_note_number) AS total_debit_note_numbers, d.tenant
 FROM debitnote d JOIN return_invoice ii ON ii.tenant = d.tenant AND ii.id = d.return_order_id
 WHERE d.note_type IN ('ICS_RETURN', 'ST_RETURN')
