@@ -51,7 +51,7 @@ def random_tables(seed: int, size: int = 150) -> dict[str, pa.Table]:
         "purchase_issue": [
             {
                 "tenant": pick(TENANTS),
-                "id": i // 2,
+                "id": i // 3,
                 "partner_detail_id": pick(PARTNERS),
                 "invoice_id": pick([None, rng.randrange(size)]),
                 "invoice_no": f"SI{i}",
@@ -62,18 +62,18 @@ def random_tables(seed: int, size: int = 150) -> dict[str, pa.Table]:
                 "debit_note_number": pick([*NOTES, "DC8", "PE9"]),
                 "created_on": day(),
             }
-            for i in range(size)
+            for i in range(6 * size)
         ],
         "purchase_issue_item": [
             {
                 "tenant": pick(TENANTS),
-                "purchase_issue_id": rng.randrange(size // 2),
+                "purchase_issue_id": rng.randrange(2 * size),
                 "ucode": pick(CODES),
                 "batch": pick(["B1", "B2", None]),
                 "return_quantity": count(),
                 "amount": money(),
             }
-            for _ in range(4 * size)
+            for _ in range(8 * size)
         ],
         "pre_purchase_issue_order": [
             {
@@ -100,29 +100,29 @@ def random_tables(seed: int, size: int = 150) -> dict[str, pa.Table]:
                 "created_on": day(),
                 "total": money(),
             }
-            for i in range(size)
+            for i in range(4 * size)
         ],
         "inward_invoice_item": [
             {
                 "tenant": pick(TENANTS),
-                "invoice_id": rng.randrange(size),
+                "invoice_id": rng.randrange(4 * size),
                 "code": pick(CODES),
                 "batch": pick(["B1", "B2", None]),
                 "quantity": count(),
                 "net_amount": money(),
             }
-            for _ in range(2 * size)
+            for _ in range(6 * size)
         ],
         "debitnote": [
             {
                 "tenant": pick(TENANTS),
-                "return_order_id": rng.randrange(size),
+                "return_order_id": rng.randrange(4 * size),
                 "note_type": pick(["ICS_RETURN", "ST_RETURN", "OTHER", None]),
                 "partner_detail_id": pick(PARTNERS),
                 "debit_note_number": pick(["DN1", "DN2", "DN3", None]),
                 "credit_note_number": pick(["CN1", "CN2", None]),
             }
-            for _ in range(12 * size)
+            for _ in range(60 * size)
         ],
     }
     return {
