@@ -2,7 +2,7 @@
 
 from crosstally.plans import reports, summary  # noqa: F401  (they register themselves)
 from crosstally.plans.registry import REPORTS, report, run_report
-from crosstally.plans.tenant_query import tenant_query, tenant_query_each
+from crosstally.plans.tenant_query import tenant_query, tenant_query_each, write_tenant_query_each
 from crosstally.sinks.csv_report import read_report, write_report
 from crosstally.sources.catalog import Catalog
 
@@ -15,4 +15,5 @@ __all__ = [
     "tenant_query",
     "tenant_query_each",
     "write_report",
+    "write_tenant_query_each",
 ]

@@ -16,7 +16,14 @@ from pyspark.sql import SparkSession
 if __package__ in (None, ""):
     sys.path[0] = str(Path(__file__).resolve().parents[1])
 
-from crosstally import REPORTS, Catalog, run_report, tenant_query, tenant_query_each, write_report
+from crosstally import (
+    REPORTS,
+    Catalog,
+    run_report,
+    tenant_query,
+    write_report,
+    write_tenant_query_each,
+)
 from crosstally.session import apply_settings
 
 
@@ -62,12 +69,9 @@ def main(arguments: list[str] | None = None) -> None:
     if not args.each:
         write_report(tenant_query(spark, text, tables), args.out, mode)
         return
-    for rows, failures in tenant_query_each(spark, text, tables):
-        for tenant, reason in failures.items():
-            print(f"{tenant}: {reason}", file=sys.stderr)
-        if rows.columns != ["tenant"]:
-            write_report(rows, args.out, mode)
-            mode = "append"
+    failures = write_tenant_query_each(spark, text, tables, args.out, mode)
+    for tenant, reason in failures.items():
+        print(f"{tenant}: {reason}", file=sys.stderr)
 
 
 if __name__ == "__main__":

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException, ParseException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crosstally.operators.routing import listed_tenants, of_active_tenants
+from crosstally.sinks.csv_report import write_report
 
 CENTRAL = ("tenant_registry", "partner_map")
 
@@ -69,7 +71,7 @@ def tenant_query_each(
     Partition the tables by tenant, so that a branch reads only its own files.
     """
     if tenants is None:
-        tenants = [row.tenant for row in listed_tenants(tables["tenant_registry"]).collect()]
+        tenants = _listed(tables)
     frames = _frames(text, tables)
     for start in range(0, len(tenants), chunk):
         results, failures = [], {}
@@ -91,3 +93,42 @@ def tenant_query_each(
             )
         elif failures:
             yield spark.createDataFrame([], "tenant string"), failures
+
+
+def write_tenant_query_each(
+    spark: SparkSession,
+    text: str,
+    tables: Mapping[str, DataFrame],
+    path: str,
+    mode: str = "overwrite",
+    tenants: Sequence[str] | None = None,
+    chunk: int = 50,
+) -> dict[str, str]:
+    """Write the result of :func:`tenant_query_each` as CSV and return what went wrong by tenant.
+
+    A chunk is one job, and a job that fails writes nothing; its tenants then run one by one, so a
+    tenant whose rows the query cannot process keeps no other from being written.
+    """
+    waiting = list(_listed(tables) if tenants is None else tenants)
+    chunks = [waiting[start : start + chunk] for start in range(0, len(waiting), chunk)]
+    failures: dict[str, str] = {}
+    while chunks:
+        some = chunks.pop(0)
+        for rows, refused in tenant_query_each(spark, text, tables, some, len(some)):
+            failures |= refused
+            accepted = [tenant for tenant in some if tenant not in refused]
+            if not accepted:
+                continue
+            try:
+                write_report(rows, path, mode)
+                mode = "append"
+            except (PySparkException, Py4JJavaError) as error:
+                if len(accepted) == 1:
+                    failures[accepted[0]] = str(error)
+                else:
+                    chunks[:0] = [[tenant] for tenant in accepted]
+    return failures
+
+
+def _listed(tables: Mapping[str, DataFrame]) -> list[str]:
+    return [row.tenant for row in listed_tenants(tables["tenant_registry"]).collect()]

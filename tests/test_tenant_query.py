@@ -1,5 +1,5 @@
 from conftest import values
-from crosstally import tenant_query, tenant_query_each
+from crosstally import read_report, tenant_query, tenant_query_each, write_tenant_query_each
 from crosstally.plans.tenant_query import PRIMARY_PRE_ORDERS
 
 ORDERS = {
@@ -70,3 +70,25 @@ def test_central_tables_are_whole(spark, tables):
     )
     rows, _ = each(spark, text, tables(**ORDERS))
     assert {row["dest_tenant"] for row in rows} == {"ar002"} and len(rows) == 4
+
+
+def test_one_tenant_that_fails_keeps_no_other_from_being_written(spark, tables, tmp_path):
+    cat = tables(
+        tenant_registry=[{"tenant": "th001"}, {"tenant": "th002"}, {"tenant": "th004"}],
+        pre_purchase_issue_order=[
+            {"id": 1, "tenant": "th001", "vendor_type": "7"},
+            {"id": 2, "tenant": "th002", "vendor_type": "PRIMARY"},
+            {"id": 3, "tenant": "th004", "vendor_type": "8"},
+        ],
+    )
+    text = "SELECT id, CAST(vendor_type AS INT) AS kind FROM {pre_purchase_issue_order}"
+    path = str(tmp_path / "report")
+    for _ in range(2):
+        failures = write_tenant_query_each(spark, text, cat, path)
+        assert set(failures) == {"th002"} and "CAST" in failures["th002"]
+        back = read_report(spark, path, "id bigint, kind int, tenant string")
+        assert sorted(map(tuple, back.collect())) == [(1, 7, "th001"), (3, 8, "th004")]
+
+    refused = "SELECT nothing FROM {pre_purchase_issue_order}"
+    failures = write_tenant_query_each(spark, refused, cat, path, mode="append")
+    assert set(failures) == {"th001", "th002", "th004"}
