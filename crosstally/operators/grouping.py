@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crosstally.operators.presence import shuffled_on
+
 #: Members listed in one row, on average, before a group is spread over several.
 GROUP_LIMIT = 100_000
 
@@ -41,16 +43,25 @@ def in_bounded_copies(members: DataFrame, copies: str, limit: int = GROUP_LIMIT)
     )
 
 
-def duplicates(rows: DataFrame, keys: Sequence[str], nullable: str, count: str) -> DataFrame:
-    """Members of the groups that have more than one, with the size of their group as ``count``.
+def members_of(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` that belong to ``groups``, with the further columns of their group.
 
-    Groups are made of ``keys`` and of the string column ``nullable``, where NULL is a value like
-    any other. It stands as two plain columns meanwhile, so that counting and the join that
-    fetches the members can use the same partitioning.
+    ``groups`` has one row per key and comes out of an aggregation, so it is partitioned by the key
+    already. Joined on the plain columns it would stay where it is, and a hot group of ``rows`` would
+    meet it in one task. The null-safe condition is an expression that partitioning does not serve:
+    both sides are shuffled for this join, which is what AQE needs to split the hot group.
     """
-    known = rows.withColumn("_text", F.coalesce(F.col(nullable), F.lit(""))).withColumn(
-        "_null", F.col(nullable).isNull()
+    right = groups.select(
+        *(F.col(key).alias(f"_{key}") for key in keys),
+        *(name for name in groups.columns if name not in keys),
     )
-    group = [*keys, "_text", "_null"]
-    counted = known.groupBy(*group).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
-    return known.join(counted, group).drop("_text", "_null")
+    return rows.join(right, shuffled_on(keys)).drop(*(f"_{key}" for key in keys))
+
+
+def duplicates(rows: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    """Members of the groups that have more than one, with the size of their group as ``count``.
+
+    NULL is a key value like any other here.
+    """
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1)
+    return members_of(rows, counted, keys)

@@ -29,8 +29,9 @@ from crosstally.operators.grouping import (
     duplicates,
     in_bounded_copies,
     in_bounded_groups,
+    members_of,
 )
-from crosstally.operators.presence import missing_in, present_in
+from crosstally.operators.presence import missing_in, present_in, present_in_skewed
 from crosstally.operators.routing import of_active_tenants, route
 from crosstally.operators.totals import compare_totals, totals
 from crosstally.plans.registry import report
@@ -145,8 +146,8 @@ def dc_created_str_not_created(
 ) -> DataFrame:
     """Notes of issues with at least one item for which the destination has no invoice.
 
-    Issues are looked up by note before the items are, so only what is left of them meets the
-    items. An empty note counts as a note here; it is the one report that does not ask for a value.
+    The notes are made distinct before they are looked up, since one may stand on very many issues.
+    An empty note counts as a note here; it is the one report that does not ask for a value.
     """
     issues = _routed_issues(
         tables,
@@ -154,24 +155,22 @@ def dc_created_str_not_created(
         & F.col("debit_note_number").isNotNull()
         & ~F.col("debit_note_number").startswith(values.UNMATCHED_NOTE_PREFIX)
         & (F.col("pr_type") != values.REGULAR_RETURN),
-    ).select("tenant", "id", "partner_detail_id", "debit_note_number", "dest_tenant")
-    invoices = tables["inward_invoice"].where(invoice_not_cancelled())
-    unmatched = missing_in(
-        issues, invoices, {"dest_tenant": "tenant", "debit_note_number": "invoice_no"}
     )
     with_items = present_in(
-        unmatched,
+        issues,
         tables["purchase_issue_item"],
         {"tenant": "tenant", "id": "purchase_issue_id"},
     )
-    return (
-        with_items.select("tenant", "partner_detail_id", "debit_note_number", "dest_tenant")
-        .distinct()
-        .select(
-            F.col("debit_note_number").alias("source_debit_note_number"),
-            "dest_tenant",
-            F.col("tenant").alias("source_tenant"),
-        )
+    noted = with_items.select(
+        "tenant", "partner_detail_id", "debit_note_number", "dest_tenant"
+    ).distinct()
+    invoices = tables["inward_invoice"].where(invoice_not_cancelled())
+    return missing_in(
+        noted, invoices, {"dest_tenant": "tenant", "debit_note_number": "invoice_no"}
+    ).select(
+        F.col("debit_note_number").alias("source_debit_note_number"),
+        "dest_tenant",
+        F.col("tenant").alias("source_tenant"),
     )
 
 
@@ -199,7 +198,7 @@ def duplicate_str_inward_invoice(
         .select("tenant", "invoice_no", "id", "status", "created_on", "created_by", "total")
     )
     members = in_bounded_groups(
-        duplicates(invoices, ["tenant"], "invoice_no", "total_count"),
+        duplicates(invoices, ["tenant", "invoice_no"], "total_count"),
         "total_count",
         ["id"],
         group_limit,
@@ -250,7 +249,7 @@ def multi_cn_for_str_inward(
     invoices = _return_invoices(tables, since).where(is_live())
     reported = present_in(several, invoices, {"tenant": "tenant", "return_order_id": "id"})
     members = (
-        notes.join(reported, order)
+        members_of(notes, reported, order)
         .groupBy(*order, "total_debit_note_numbers", "_size", *by_note)
         .agg(
             F.count(F.lit(1)).alias("copies"),
@@ -379,7 +378,7 @@ def compared_totals(
         sent_total,
         as_type,
     )
-    invoices = present_in(
+    invoices = present_in_skewed(
         tables["inward_invoice"].where(invoice_not_cancelled()).select("tenant", "id", "invoice_no"),
         issues,
         {"tenant": "dest_tenant", "invoice_no": "debit_note_number"},
