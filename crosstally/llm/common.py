@@ -3,23 +3,45 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
+from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import crosstally
 from crosstally.session import apply_settings, shared_folder
 
 #: White space between words wherever a contract counts or compares words.
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Settings, and this package on the workers, where Python doesn't find it by itself.
+
+    On a cluster it is installed or sent with ``--py-files``; a script that only has it on its own path
+    gets it sent along here.
+    """
+    root = Path(crosstally.__file__).resolve().parents[1]
+    found = [Path(p).resolve() for p in ("", *os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    context = spark.sparkContext
+    if root not in found and "site-packages" not in root.parts and _sent_to.get("to") != context.applicationId:
+        _sent_to["to"] = context.applicationId
+        packed = shutil.make_archive(f"{tempfile.mkdtemp()}/crosstally", "zip", root, "crosstally")
+        context.addPyFile(packed)
+    return apply_settings(spark)
+
+
+_sent_to: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; only Spark opens the path."""
-    return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def kept(rows: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
@@ -54,10 +76,6 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
-def pieces(items: list, size: int) -> Iterator[list]:
+def sliced(items: list, size: int) -> Iterator[list]:
     for start in range(0, len(items), size):
         yield items[start : start + size]

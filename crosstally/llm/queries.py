@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosstally.llm import decontamination, token_counts, token_output
+from crosstally.llm import (
+    chat_format,
+    decontamination,
+    language_id,
+    source_mixing,
+    token_counts,
+    token_output,
+    topk_search,
+)
 from crosstally.llm.common import table
 
 
@@ -17,6 +25,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(spark, table(spark, sf_dir, "documents"), path)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -31,6 +43,28 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    one = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.explode(F.map_from_arrays(*(F.array(*map(F.lit, x)) for x in ((0, 1), ("user", "assistant"))))).alias("turn", "role"),
+        F.lit(said).alias("text"),
+    )
+    return chat_format.digests(chat_format.format_chats(turns.unionByName(one)))
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantised(table(spark, sf_dir, "embeddings"))
+    return topk_search.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors, 20)
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = source_mixing.mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mix.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
@@ -38,9 +72,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
+    "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
+    "op7_chat_format": op7_chat_format,
+    "op8_topk_search": op8_topk_search,
+    "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
 }
 
 #: The same in SQL, where SQL can express it.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_chat_format": chat_format.CHAT_SQL,
+    "op8_topk_search": topk_search.TOP_K_SQL,
+    "op9_source_mixing": source_mixing.MIX_SQL,
+}
