@@ -164,7 +164,7 @@ WITH turns AS (
   SELECT CAST(-7 AS BIGINT), t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
 ), sized AS (
   SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '\', ''), '#', ''), '<', ''))
-         + 4 + length(role) + 2 + 10 AS chars
+         + 4 + length(role) + 2 + 9 AS chars
   FROM turns
 )
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,

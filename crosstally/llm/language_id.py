@@ -120,14 +120,21 @@ class Ftrl:
 
 
 def calibrated(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least negative log-likelihood, by narrowing in on it."""
-    if not len(labels):
+    """The temperature of least negative log-likelihood, by narrowing in on it.
+
+    A label counts as right with probability (n + 1) / (n + 2), n being the number of labels. Without
+    that doubt, a sample on which the model makes no mistake would have no best temperature.
+    """
+    if not len(labels) or logits.shape[1] < 2:
         return 1.0
+    sure = (len(labels) + 1) / (len(labels) + 2)
+    wanted = np.full(logits.shape, (1 - sure) / (logits.shape[1] - 1))
+    wanted[np.arange(len(labels)), labels] = sure
 
     def loss(log_t: float) -> float:
         x = logits / np.exp(log_t)
         x = x - x.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(x).sum(axis=1)) - x[np.arange(len(labels)), labels]).mean())
+        return float((wanted * (np.log(np.exp(x).sum(axis=1, keepdims=True)) - x)).sum(axis=1).mean())
 
     low, high = np.log(0.05), np.log(20)
     for _ in range(50):

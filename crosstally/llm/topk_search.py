@@ -86,20 +86,21 @@ class Grid:
 
 
 def _counted(q: pa.Table | None, c: pa.Table | None, scores: np.ndarray | None) -> dict:
-    """Histogram of each query's scores from ``low`` on, in bins of ``width``, as far as it matters.
+    """Histogram of each query's ``span`` scores from ``low`` on, in bins of ``width``, as far as it matters.
 
     Scores below the k-th of this block are left out: at least k in the block are higher, so the
-    query's k-th score can't be among them. A query's scores above the bins were counted before.
+    query's k-th score can't be among them. Those above the span were counted before.
     """
     if q is None:
         return {"vec_id": pa.array([], pa.int64()), "bin": pa.array([], pa.int32()), "n": pa.array([], pa.int64())}
-    k, low, width = q["k"][0].as_py(), q["low"].to_numpy(), q["width"].to_numpy()
-    bins = (scores - low[:, None]) // width[:, None]
-    inside = (scores >= low[:, None]) & (bins < BINS)
+    k, width, span = (q[name][0].as_py() for name in ("k", "width", "span"))
+    low = q["low"].to_numpy()[:, None]
+    inside = (scores >= low) & (scores < low + span)
     if scores.shape[1] > k:
         inside &= scores >= np.partition(scores, -k, axis=1)[:, -k][:, None]
     row, at = np.nonzero(inside)
-    cells, n = np.unique(row * BINS + bins[row, at], return_counts=True)
+    bins = (scores[row, at] - low[row, 0]) // width
+    cells, n = np.unique(row * BINS + bins, return_counts=True)
     return {
         "vec_id": pa.array(q["vec_id"].to_numpy()[cells // BINS]),
         "bin": pa.array((cells % BINS).astype(np.int32)),
@@ -139,12 +140,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     reach = int((sizes.norm or 0) ** 0.5 * (asked_sizes.norm or 0) ** 0.5 * 1.000001) + 2  # no score is beyond
     grid = Grid(candidates, asked_sizes.n, sizes.n)
 
-    width = max(1, -(-(2 * reach + 1) // BINS))
-    # above: how many scores lie above the bins looked at.
+    span = 2 * reach + 1
+    # above: how many scores lie above the span looked at.
     state = asked.select("vec_id", F.lit(-reach).cast("long").alias("low"), F.lit(0).cast("long").alias("above"))
-    while True:
+    while span > 1:
+        width = -(-span // BINS)
         current = asked.join(state, "vec_id").select(
-            "vec_id", "dim", "vector", F.lit(k).alias("k"), "low", F.lit(width).cast("long").alias("width")
+            "vec_id", "dim", "vector", F.lit(k).alias("k"), "low", *(F.lit(n).cast("long").alias(name) for name, n in (("width", width), ("span", span)))
         )
         counts = grid.each_cell(current, _counted, "vec_id long, bin int, n long")
         counts = counts.groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
@@ -169,9 +171,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
             ),
             "kth-scores",
         )
-        if width == 1:
-            break
-        width = -(-width // BINS)
+        span = width
 
     current = asked.join(state, "vec_id").select("vec_id", "dim", "vector", F.lit(k).alias("k"), "low")
     rows = grid.each_cell(current, _chosen, "query_id long, vec_id long, score long")
