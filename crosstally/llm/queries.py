@@ -12,6 +12,8 @@ from crosstally.llm import (
     chat_format,
     decontamination,
     language_id,
+    license_scan,
+    minhash_dedup,
     source_mixing,
     token_counts,
     token_output,
@@ -29,6 +31,20 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("long").alias("n_known"),
+        F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -73,6 +89,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_language_id": op3_language_id,
+    "op4_license_scan": op4_license_scan,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_chat_format": op7_chat_format,
     "op8_topk_search": op8_topk_search,
@@ -82,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: The same in SQL, where SQL can express it.
 SQL: dict[str, str] = {
+    "op4_license_scan": license_scan.scan_sql(),
     "op7_chat_format": chat_format.CHAT_SQL,
     "op8_topk_search": topk_search.TOP_K_SQL,
     "op9_source_mixing": source_mixing.MIX_SQL,
