@@ -13,6 +13,7 @@ from crosstally.llm import (
     decontamination,
     language_id,
     license_scan,
+    lm_scoring,
     minhash_dedup,
     source_mixing,
     token_counts,
@@ -22,6 +23,10 @@ from crosstally.llm import (
 from crosstally.llm.common import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_output.token_output(spark, table(spark, sf_dir, "documents"), path)
@@ -87,6 +92,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_token_output": op2_token_output,
     "op3_language_id": op3_language_id,
     "op4_license_scan": op4_license_scan,
