@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from pathlib import Path
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import crosstally
-from crosstally.session import apply_settings, shared_folder
+from crosstally.session import apply_settings, scratch
 
 #: White space between words wherever a contract counts or compares words.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -44,22 +43,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(rows: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
+def kept(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the cluster's shared folder and read again.
 
     This cuts the lineage: an executor that is lost afterwards costs no recomputation of what came
     before. The folder is removed when the driver's JVM ends.
     """
-    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    return kept_at(rows, path, partition_by)
-
-
-def kept_at(rows: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    spark = rows.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    rows.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def text_of(column: str = "text") -> F.Column:

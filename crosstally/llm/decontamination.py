@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from crosstally.llm.common import text_of
 
-#: Words are what lies between these ASCII characters (all but digits and letters).
-SEPARATORS = rb"\x00-\x2F\x3A-\x60\x7B-\x7F"
-WORD = re.compile(rb"[^" + SEPARATORS + rb"]+")
+#: Words are what lies between blanks once letters are in lower case and all ASCII characters but letters
+#: and digits are blanks.
+WORD = re.compile(rb"[^ ]+")
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
@@ -84,7 +84,7 @@ class Windows:
 def spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Offsets in characters of ``text`` of ranges of its words."""
     raw = text.encode()
-    at = [match.span() for match in WORD.finditer(raw)]
+    at = [match.span() for match in WORD.finditer(raw.translate(_TABLE))]  # byte for byte
     return [(len(raw[: at[a][0]].decode()), len(raw[: at[b - 1][1]].decode())) for a, b in ranges]
 
 
