@@ -1,7 +1,7 @@
 """Cross-tenant reconciliation of purchase returns, inward invoices and notes on Spark."""
 
 from crosstally.plans import reports, summary  # noqa: F401  (they register themselves)
-from crosstally.plans.registry import REPORTS, report, run_report
+from crosstally.plans.registry import REPORTS, in_report_order, report, run_report
 from crosstally.plans.tenant_query import tenant_query, tenant_query_each, write_tenant_query_each
 from crosstally.sinks.csv_report import read_report, write_report
 from crosstally.sources.catalog import Catalog
@@ -9,6 +9,7 @@ from crosstally.sources.catalog import Catalog
 __all__ = [
     "Catalog",
     "REPORTS",
+    "in_report_order",
     "read_report",
     "report",
     "run_report",

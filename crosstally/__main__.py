@@ -3,12 +3,17 @@
     spark-submit crosstally/__main__.py report str_return_quantity_diff \\
         --tables /data/tables --out /reports/quantity --since 2025-08-30
     spark-submit crosstally/__main__.py query query.sql --tables /data/tables --out /reports/query
+
+A query whose rows of some tenant can't be processed is written without them; the command names the
+tenants and ends with an error.
 """
 
 from __future__ import annotations
 
 import argparse
+import inspect
 import sys
+from decimal import Decimal
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -19,6 +24,7 @@ if __package__ in (None, ""):
 from crosstally import (
     REPORTS,
     Catalog,
+    in_report_order,
     run_report,
     tenant_query,
     write_report,
@@ -34,11 +40,16 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     report = commands.add_parser("report", help="run a report of its name")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("--since", help="first day to look at, as 2025-08-30")
+    report.add_argument(
+        "--excluded-tenants", type=lambda names: names.split(","), help="as th303,th997"
+    )
+    report.add_argument("--tolerance", type=Decimal, help="of amounts, as 1.0")
+    report.add_argument("--blank-rule", choices=["or", "literal"], help="what a blank note is")
 
     query = commands.add_parser("query", help="run SQL whose tables stand in {braces}")
     query.add_argument("file", help="file that holds the SQL")
     query.add_argument(
-        "--each", action="store_true", help="run it on each tenant alone, not on all rows at once"
+        "--at-once", action="store_true", help="run it once on all rows, not on each tenant alone"
     )
 
     for command in (report, query):
@@ -61,17 +72,24 @@ def main(arguments: list[str] | None = None) -> None:
     mode = "append" if args.append else "overwrite"
 
     if args.command == "report":
-        parameters = {"since": args.since} if args.since else {}
-        write_report(run_report(args.name, tables, **parameters), args.out, mode)
+        named = ("since", "excluded_tenants", "tolerance", "blank_rule")
+        given = {name: getattr(args, name) for name in named if getattr(args, name) is not None}
+        known = inspect.signature(REPORTS[args.name]).parameters
+        if unknown := [name for name in given if name not in known]:
+            sys.exit(f"{args.name} has no parameter {', '.join(unknown)}")
+        rows = run_report(args.name, tables, **given)
+        write_report(in_report_order(args.name, rows), args.out, mode)
         return
 
     text = Path(args.file).read_text()
-    if not args.each:
+    if args.at_once:
         write_report(tenant_query(spark, text, tables), args.out, mode)
         return
     failures = write_tenant_query_each(spark, text, tables, args.out, mode)
     for tenant, reason in failures.items():
         print(f"{tenant}: {reason}", file=sys.stderr)
+    if failures:
+        sys.exit(f"{len(failures)} tenants were skipped")
 
 
 if __name__ == "__main__":

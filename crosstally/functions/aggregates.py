@@ -1,13 +1,7 @@
-"""Joined-list aggregates: every value of a group in one string, in a fixed order.
-
-Both collect the group, so they are only used on groups that
-:func:`crosstally.operators.grouping.in_bounded_groups` has kept small.
-"""
+"""Joined-list aggregates: values of a group in one string, in a fixed order."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,26 +9,11 @@ from crosstally.values import LIST_SEPARATOR
 
 
 def concat_distinct(column: str) -> Column:
-    """The distinct non-NULL values, ascending; NULL when there is none."""
+    """The distinct non-NULL values, ascending; NULL when there is none.
+
+    Collected per group, so it is for columns that have few values at all, such as a status.
+    """
     listed = F.array_join(
         F.array_sort(F.collect_set(F.col(column).cast("string"))), LIST_SEPARATOR
     )
     return F.when(F.count(column) > 0, listed)
-
-
-def concat_all(column: str, order_by: Sequence[str], copies: str | None = None) -> Column:
-    """All non-NULL values in the order of ``order_by``; NULL when there is none.
-
-    ``copies`` names a count column: the value of a row then stands in the list that many times.
-    """
-    fields = [F.col(name).alias(f"key{i}") for i, name in enumerate(order_by)]
-    value = F.col(column).cast("string").alias("value")
-    count = (F.col(copies) if copies else F.lit(1)).cast("int").alias("copies")
-    rows = F.array_sort(
-        F.collect_list(F.when(F.col(column).isNotNull(), F.struct(*fields, value, count)))
-    )
-    if copies:
-        listed = F.flatten(F.transform(rows, lambda row: F.array_repeat(row.value, row.copies)))
-    else:
-        listed = F.transform(rows, lambda row: row.value)
-    return F.when(F.count(column) > 0, F.array_join(listed, LIST_SEPARATOR))

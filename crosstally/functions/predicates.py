@@ -48,3 +48,10 @@ def since(first_day: date | str, column: str = "created_on") -> Column:
     if isinstance(first_day, str):
         first_day = date.fromisoformat(first_day)
     return F.col(column) >= F.lit(first_day)
+
+
+def month_of(day: date | str) -> date:
+    """The first day of the month of ``day``."""
+    if isinstance(day, str):
+        day = date.fromisoformat(day)
+    return day.replace(day=1)

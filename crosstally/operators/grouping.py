@@ -1,9 +1,7 @@
-"""Groups with more than one member, with what their members hold listed in one row.
+"""Members of the groups that have more than one.
 
-A list has to be collected, and a group may hold a large part of all rows. So the groups are counted
-first (which map tasks combine), members are fetched only for the groups that are reported, and a
-group above ``GROUP_LIMIT`` members is spread by hash over as many rows of the report as it needs.
-Every member is listed exactly once either way; only a group above the limit has several rows.
+The groups are counted first, which map tasks combine, and their members fetched by a join whose hot
+groups can be split. A member is a row; no group is collected.
 """
 
 from __future__ import annotations
@@ -15,37 +13,14 @@ from pyspark.sql import functions as F
 
 from crosstally.operators.presence import shuffled_on
 
-#: Members listed in one row, on average, before a group is spread over several.
-GROUP_LIMIT = 100_000
 
-
-def in_bounded_groups(
-    members: DataFrame, size: str, spread_by: Sequence[str], limit: int = GROUP_LIMIT
+def members_of(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Add ``_part``: 0 in groups of up to ``limit`` members, else one of ceil(size / limit) parts.
-
-    The part depends on the member's values only, so a task that is run again gives the same one.
-    """
-    parts = F.ceil(F.col(size) / F.lit(limit))
-    return members.withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts))
-
-
-def in_bounded_copies(members: DataFrame, copies: str, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Split a row that stands for more than ``limit`` equal members into rows of at most that.
-
-    Adds ``_piece``, the number of the row among those made from one.
-    """
-    last = F.floor((F.col(copies) - 1) / limit)
-    left = F.col(copies) - F.col("_piece") * limit
-    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-    return members.withColumn("_piece", pieces).withColumn(
-        copies, F.least(left, F.lit(limit).cast("bigint"))
-    )
-
-
-def members_of(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` that belong to ``groups``, with the further columns of their group.
 
+    ``how="left"`` keeps the others too, with NULL in those columns.
+
     ``groups`` has one row per key and comes out of an aggregation, so it is partitioned by the key
     already. Joined on the plain columns it would stay where it is, and a hot group of ``rows`` would
     meet it in one task. The null-safe condition is an expression that partitioning does not serve:
@@ -55,7 +30,7 @@ def members_of(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataF
         *(F.col(key).alias(f"_{key}") for key in keys),
         *(name for name in groups.columns if name not in keys),
     )
-    return rows.join(right, shuffled_on(keys)).drop(*(f"_{key}" for key in keys))
+    return rows.join(right, shuffled_on(keys), how).drop(*(f"_{key}" for key in keys))
 
 
 def duplicates(rows: DataFrame, keys: Sequence[str], count: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 Neither join carries a broadcast hint. The registry and the map are normally a few hundred rows and
 Catalyst broadcasts them because their size is below ``spark.sql.autoBroadcastJoinThreshold``; should
-the map outgrow it, the same join becomes a shuffled one whose hot partners AQE splits.
+the map outgrow it, the same join becomes a shuffled one whose hot partners AQE splits. This needs a
+size that Spark knows: files, saved tables and :func:`partner_map` have one, a JDBC table has not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,17 @@ def tenant_registry(warehouses: DataFrame, arsenals: DataFrame) -> DataFrame:
 
 
 def partner_map(spark: SparkSession, destinations: Mapping) -> DataFrame:
-    """The destination tenant by partner id, from a mapping of a few hundred entries."""
-    rows = [(str(partner), tenant) for partner, tenant in destinations.items()]
-    return spark.createDataFrame(rows, "partner_detail_id string, dest_tenant string")
+    """The destination tenant by partner id, from a mapping of a few hundred entries.
+
+    Made from an Arrow table, whose size Spark knows and by which it decides to broadcast it.
+    """
+    rows = pa.table(
+        {
+            "partner_detail_id": pa.array([str(partner) for partner in destinations], pa.string()),
+            "dest_tenant": pa.array(list(destinations.values()), pa.string()),
+        }
+    )
+    return spark.createDataFrame(rows)
 
 
 def active_tenants(registry: DataFrame) -> DataFrame:

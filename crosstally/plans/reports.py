@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosstally import values
-from crosstally.functions.aggregates import concat_all, concat_distinct
+from crosstally.functions.aggregates import concat_distinct
 from crosstally.functions.predicates import (
     has_value,
     invoice_not_cancelled,
@@ -22,16 +22,11 @@ from crosstally.functions.predicates import (
     is_created,
     is_live,
     issue_not_cancelled,
+    month_of,
     since as on_or_after,
 )
-from crosstally.operators.grouping import (
-    GROUP_LIMIT,
-    duplicates,
-    in_bounded_copies,
-    in_bounded_groups,
-    members_of,
-)
-from crosstally.operators.presence import missing_in, present_in, present_in_skewed
+from crosstally.operators.grouping import duplicates, members_of
+from crosstally.operators.presence import missing_in, present_in, present_in_skewed, shuffled_on
 from crosstally.operators.routing import of_active_tenants, route
 from crosstally.operators.totals import compare_totals, totals
 from crosstally.plans.registry import report
@@ -48,29 +43,60 @@ def _routed_issues(tables: Tables, condition: Column) -> DataFrame:
 
 
 def _with_items(headers: DataFrame, items: DataFrame, header_id: str) -> DataFrame:
-    """Items joined to their header, on tenant and document: ids repeat from tenant to tenant."""
-    return headers.join(items.withColumnRenamed(header_id, "id"), ["tenant", "id"])
+    """Items joined to their header, on tenant and document: ids repeat from tenant to tenant.
+
+    The document is compared null-safe, which changes no result since items without one are left out.
+    It makes the join shuffle both sides also where tables are bucketed by document, so that a document
+    with very many items can be split. The tenant is compared plainly, which lets Spark read only the
+    folders of the headers' tenants.
+    """
+    own = items.where(F.col(header_id).isNotNull()).withColumnsRenamed(
+        {"tenant": "_tenant", header_id: "_id"}
+    )
+    same = (F.col("tenant") == F.col("_tenant")) & shuffled_on(["id"])
+    return headers.join(own, same).drop("_tenant", "_id")
+
+
+def _recent_items(tables: Tables, first_day: date | str, month: str) -> DataFrame:
+    """Items of issues, without those known to be of a month before that of ``first_day``.
+
+    Tables that the layouts of :mod:`crosstally.sources.catalog` wrote carry the months of an item's
+    issue. The scan then skips what is older, instead of reading all items of all time.
+    """
+    items = tables["purchase_issue_item"]
+    if month not in items.columns:
+        return items
+    known = F.col(month)
+    return items.where(known.isNull() | (known >= F.lit(month_of(first_day)))).drop(
+        values.CREATED_MONTH, values.INVOICE_MONTH
+    )
 
 
 # Item codes sent back that the destination never received --------------------------------------
 
 
-def _ucode_missing(tables: Tables, condition: Column) -> DataFrame:
-    issues = _routed_issues(tables, condition).select(
+def _ucode_missing(tables: Tables, first_day: date | str, condition: Column) -> DataFrame:
+    issues = _routed_issues(tables, on_or_after(first_day) & condition).select(
         "tenant", "id", "partner_detail_id", "dest_tenant"
     )
     code = F.lpad("ucode", values.ITEM_CODE_WIDTH, "0")
     sent = (
-        _with_items(issues, tables["purchase_issue_item"], "purchase_issue_id")
+        _with_items(
+            issues, _recent_items(tables, first_day, values.CREATED_MONTH), "purchase_issue_id"
+        )
         .select("tenant", "partner_detail_id", code.alias("ucode"), "dest_tenant")
         .distinct()
     )
     bought = tables["inward_invoice"].where(
         is_live() & ~F.col("purchase_type").isin(values.RETURN_INVOICES)
     )
-    received = _with_items(
-        bought.select("tenant", "id"), tables["inward_invoice_item"], "invoice_id"
+    # The destinations' items are all of all time; only the codes that were sent are of interest.
+    asked = present_in_skewed(
+        tables["inward_invoice_item"].select("tenant", "invoice_id", "code"),
+        sent,
+        {"tenant": "dest_tenant", "code": "ucode"},
     )
+    received = _with_items(bought.select("tenant", "id"), asked, "invoice_id")
     return missing_in(sent, received, {"dest_tenant": "tenant", "ucode": "code"}).select(
         "tenant", "partner_detail_id", "ucode", "dest_tenant"
     )
@@ -81,7 +107,7 @@ def ucode_missing_dc_not_generated(
     tables: Tables, since: date | str = values.ITEM_CODES_SINCE
 ) -> DataFrame:
     """Item codes returned without a note that the destination never bought."""
-    return _ucode_missing(tables, on_or_after(since) & is_blank("debit_note_number"))
+    return _ucode_missing(tables, since, is_blank("debit_note_number"))
 
 
 @report
@@ -89,7 +115,7 @@ def ucode_missing_dc_generated(
     tables: Tables, since: date | str = values.ITEM_CODES_SINCE
 ) -> DataFrame:
     """Item codes returned with a note that the destination never bought."""
-    return _ucode_missing(tables, on_or_after(since) & has_value("debit_note_number"))
+    return _ucode_missing(tables, since, has_value("debit_note_number"))
 
 
 # References and notes ---------------------------------------------------------------------------
@@ -112,9 +138,9 @@ def invalid_invoice_in_pr(
         & F.col("invoice_id").isNotNull()
         & ~F.col("tenant").isin(list(excluded_tenants)),
     )
-    invoices = tables["inward_invoice"].select(
-        "tenant",
-        F.col("id").alias("invoice_id"),
+    invoices = tables["inward_invoice"].where(F.col("id").isNotNull()).select(
+        F.col("tenant").alias("_tenant"),
+        F.col("id").alias("_invoice_id"),
         F.lit(True).alias("_found"),
         F.coalesce(F.col("purchase_type").isin(values.TRANSFER_INVOICES), F.lit(False)).alias(
             "_transfer"
@@ -123,7 +149,9 @@ def invalid_invoice_in_pr(
     )
     other_partner = F.col("_transfer") & ~F.col("_partner").eqNullSafe(F.col("partner_detail_id"))
     return (
-        issues.join(invoices, ["tenant", "invoice_id"], "left")
+        issues.join(
+            invoices, (F.col("tenant") == F.col("_tenant")) & shuffled_on(["invoice_id"]), "left"
+        )
         .where(F.col("_found").isNull() | other_partner)
         .select(
             "dest_tenant",
@@ -158,7 +186,7 @@ def dc_created_str_not_created(
     )
     with_items = present_in(
         issues,
-        tables["purchase_issue_item"],
+        _recent_items(tables, since, values.INVOICE_MONTH),
         {"tenant": "tenant", "id": "purchase_issue_id"},
     )
     noted = with_items.select(
@@ -181,105 +209,88 @@ def _return_invoices(tables: Tables, since: date | str) -> DataFrame:
     return of_active_tenants(invoices, tables["tenant_registry"])
 
 
-@report
-def duplicate_str_inward_invoice(
-    tables: Tables,
-    since: date | str = values.DUPLICATES_SINCE,
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """Return invoices whose number occurs more than once in a tenant; lists are in id order.
-
-    A number with more than ``group_limit`` invoices has several rows that share its
-    ``total_count`` and list different invoices.
-    """
-    invoices = (
+def _numbered_invoices(tables: Tables, since: date | str) -> DataFrame:
+    return (
         _return_invoices(tables, since)
         .where(invoice_not_cancelled())
         .select("tenant", "invoice_no", "id", "status", "created_on", "created_by", "total")
     )
-    members = in_bounded_groups(
-        duplicates(invoices, ["tenant", "invoice_no"], "total_count"),
-        "total_count",
-        ["id"],
-        group_limit,
-    )
+
+
+@report(order_by=["tenant", "-total_count", "invoice_no"])
+def duplicate_str_inward_invoice(
+    tables: Tables, since: date | str = values.DUPLICATES_SINCE
+) -> DataFrame:
+    """Numbers that more than one return invoice of a tenant has, a row for each.
+
+    The invoices themselves are the rows of :func:`duplicate_str_inward_invoice_members`.
+    """
     return (
-        members.groupBy("tenant", "invoice_no", "total_count", "_part")
+        _numbered_invoices(tables, since)
+        .groupBy("tenant", "invoice_no")
         .agg(
             concat_distinct("status").alias("statuses"),
-            concat_all("created_on", ["id"]).alias("created_ons"),
-            concat_distinct("created_by").alias("created_by"),
-            concat_all("total", ["id"]).alias("total_amount_invoice"),
-        )
-        .select(
-            "tenant",
-            "invoice_no",
-            "statuses",
-            "created_ons",
-            "created_by",
-            "total_amount_invoice",
-            "total_count",
+            F.min("created_on").alias("first_created_on"),
+            F.max("created_on").alias("last_created_on"),
+            F.sum("total").cast(AMOUNT).alias("total_amount_invoice"),
+            F.count(F.lit(1)).alias("total_count"),
         )
+        .where(F.col("total_count") > 1)
     )
 
 
-@report
-def multi_cn_for_str_inward(
-    tables: Tables,
-    since: date | str = values.RETURN_INVOICES_SINCE,
-    group_limit: int = GROUP_LIMIT,
+@report(order_by=["tenant", "-total_count", "invoice_no", "id"])
+def duplicate_str_inward_invoice_members(
+    tables: Tables, since: date | str = values.DUPLICATES_SINCE
 ) -> DataFrame:
-    """Live return invoices with more than one debit note; lists are in order of the notes.
+    """Return invoices whose number occurs more than once in a tenant, a row for each invoice."""
+    return duplicates(_numbered_invoices(tables, since), ["tenant", "invoice_no"], "total_count")
 
-    Notes are fetched only for the invoices reported, and equal ones are counted before they are
-    listed. An invoice with more than ``group_limit`` notes has several rows that share its
-    ``total_debit_note_numbers`` and list different notes.
-    """
-    order = ["tenant", "return_order_id"]
-    by_note = ["debit_note_number", "credit_note_number"]
+
+def _several_notes(tables: Tables, since: date | str) -> tuple[DataFrame, DataFrame]:
+    """Return notes, and the live return invoices with more than one debit note."""
     notes = tables["debitnote"].where(F.col("note_type").isin(values.RETURN_NOTES))
     several = (
-        notes.groupBy(*order)
+        notes.groupBy("tenant", "return_order_id")
         .agg(
             F.countDistinct("debit_note_number").alias("total_debit_note_numbers"),
-            F.count(F.lit(1)).alias("_size"),
-        )
-        .where(F.col("total_debit_note_numbers") > 1)
-    )
-    invoices = _return_invoices(tables, since).where(is_live())
-    reported = present_in(several, invoices, {"tenant": "tenant", "return_order_id": "id"})
-    members = (
-        members_of(notes, reported, order)
-        .groupBy(*order, "total_debit_note_numbers", "_size", *by_note)
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
             F.min("note_type").alias("note_type"),
             F.min("partner_detail_id").alias("partner_detail_id"),
         )
+        .where(F.col("total_debit_note_numbers") > 1)
     )
-    parts = in_bounded_groups(
-        in_bounded_copies(members, "copies", group_limit),
-        "_size",
-        [*by_note, "_piece"],
-        group_limit,
+    invoices = _return_invoices(tables, since).where(is_live())
+    return notes, present_in(several, invoices, {"tenant": "tenant", "return_order_id": "id"})
+
+
+@report
+def multi_cn_for_str_inward(
+    tables: Tables, since: date | str = values.RETURN_INVOICES_SINCE
+) -> DataFrame:
+    """Live return invoices with more than one debit note, a row for each.
+
+    The notes themselves are the rows of :func:`multi_cn_for_str_inward_notes`.
+    """
+    _, reported = _several_notes(tables, since)
+    return reported.select(
+        "return_order_id", "note_type", "partner_detail_id", "total_debit_note_numbers", "tenant"
     )
+
+
+@report
+def multi_cn_for_str_inward_notes(
+    tables: Tables, since: date | str = values.RETURN_INVOICES_SINCE
+) -> DataFrame:
+    """Debit and credit notes of live return invoices with more than one debit note.
+
+    A row is a pair of numbers; ``copies`` says how often the invoice has it.
+    """
+    notes, reported = _several_notes(tables, since)
+    order = ["tenant", "return_order_id"]
     return (
-        parts.groupBy(*order, "total_debit_note_numbers", "_part")
-        .agg(
-            F.min("note_type").alias("note_type"),
-            F.min("partner_detail_id").alias("partner_detail_id"),
-            concat_all("debit_note_number", by_note, "copies").alias("debit_note_numbers"),
-            concat_all("credit_note_number", by_note, "copies").alias("credit_note_numbers"),
-        )
-        .select(
-            "return_order_id",
-            "note_type",
-            "partner_detail_id",
-            "debit_note_numbers",
-            "credit_note_numbers",
-            "total_debit_note_numbers",
-            "tenant",
-        )
+        members_of(notes, reported.select(*order, "total_debit_note_numbers"), order)
+        .groupBy(*order, "total_debit_note_numbers", "debit_note_number", "credit_note_number")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -372,7 +383,9 @@ def compared_totals(
         & has_value("debit_note_number"),
     ).select("tenant", "id", "partner_detail_id", "debit_note_number", "dest_tenant")
     sent = totals(
-        _with_items(issues, tables["purchase_issue_item"], "purchase_issue_id"),
+        _with_items(
+            issues, _recent_items(tables, since, values.CREATED_MONTH), "purchase_issue_id"
+        ),
         ["tenant", "ucode", "batch", "debit_note_number", "partner_detail_id", "dest_tenant"],
         sent_value,
         sent_total,

@@ -7,9 +7,10 @@ DataFrames.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import suppress
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,13 +67,23 @@ def tenant_query_each(
     """Run ``text`` on the rows of each tenant alone, ``chunk`` tenants to a DataFrame.
 
     Gives each chunk's result, with ``tenant`` as a column and absent columns as NULL, and what
-    went wrong by tenant; a tenant whose query is refused is left out of the result. The plan has a
-    branch for every tenant of the chunk, which is what keeps it from growing with their number.
-    Partition the tables by tenant, so that a branch reads only its own files.
+    went wrong by tenant; a tenant whose query is refused is left out of the result.
+
+    Text that takes the rows of one table one by one gives the same rows for all tenants at once. It
+    is run once, in one scan, whatever ``chunk`` is. For other text the plan has a branch for every
+    tenant of the chunk, which is what keeps it from growing with their number. Partition the tables
+    by tenant then, so that a branch reads only its own files.
     """
+    frames = _frames(text, tables)
+    if takes_rows_one_by_one(spark, text, frames):
+        if tenants is None:
+            yield tenant_query(spark, text, tables), {}
+        elif tenants:
+            own = {name: rows.where(F.col("tenant").isin(list(tenants))) for name, rows in frames.items()}
+            yield spark.sql(text, **own), {}
+        return
     if tenants is None:
         tenants = _listed(tables)
-    frames = _frames(text, tables)
     for start in range(0, len(tenants), chunk):
         results, failures = [], {}
         for tenant in tenants[start : start + chunk]:
@@ -95,6 +106,39 @@ def tenant_query_each(
             yield spark.createDataFrame([], "tenant string"), failures
 
 
+#: Nodes of a plan that look at one row at a time.
+ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "Generate"}
+
+
+def takes_rows_one_by_one(
+    spark: SparkSession, text: str, frames: Mapping[str, DataFrame]
+) -> bool:
+    """Whether ``text`` only selects and filters rows of one tenants' table and passes on its tenant.
+
+    Decided on the plan of the same text on empty tables. Text that Spark refuses is not such text.
+    """
+    if len(frames) != 1 or set(frames) & set(CENTRAL):
+        return False
+    empty = {name: spark.createDataFrame([], rows.schema) for name, rows in frames.items()}
+    try:
+        plan = spark.sql(text, **empty)._jdf.queryExecution().analyzed()
+    except (AnalysisException, ParseException):
+        return False
+    node = plan
+    while node.children().size():
+        if node.children().size() > 1 or node.nodeName() not in ROW_BY_ROW or node.subqueries().size():
+            return False
+        node = node.children().apply(0)
+
+    def tenant_of(plan) -> list:
+        out = plan.output()
+        found = [out.apply(k) for k in range(out.size())]
+        return [column.exprId() for column in found if column.name() == "tenant"]
+
+    ours, theirs = tenant_of(plan), tenant_of(node)
+    return len(ours) == 1 and len(theirs) == 1 and ours[0].equals(theirs[0])
+
+
 def write_tenant_query_each(
     spark: SparkSession,
     text: str,
@@ -107,7 +151,8 @@ def write_tenant_query_each(
     """Write the result of :func:`tenant_query_each` as CSV and return what went wrong by tenant.
 
     A chunk is one job, and a job that fails writes nothing; its tenants then run one by one, so a
-    tenant whose rows the query cannot process keeps no other from being written.
+    tenant whose rows the query cannot process keeps no other from being written. Only errors of the
+    query are a tenant's: a path that can't be written or a cluster that is lost is raised.
     """
     waiting = list(_listed(tables) if tenants is None else tenants)
     chunks = [waiting[start : start + chunk] for start in range(0, len(waiting), chunk)]
@@ -123,6 +168,8 @@ def write_tenant_query_each(
                 write_report(rows, path, mode)
                 mode = "append"
             except (PySparkException, Py4JJavaError) as error:
+                if not _of_the_query(error):
+                    raise
                 if len(accepted) == 1:
                     failures[accepted[0]] = str(error)
                 else:
@@ -130,5 +177,19 @@ def write_tenant_query_each(
     return failures
 
 
+def _of_the_query(error: PySparkException | Py4JJavaError) -> bool:
+    """Whether an error comes from the text or the rows: its SQL state says so (classes 21, 22, 42)."""
+    if isinstance(error, PySparkException):
+        return (error.getSqlState() or "")[:2] in ("21", "22", "42")
+    cause = error.java_exception
+    while cause is not None:
+        state = getattr(cause, "getSqlState", None)
+        with suppress(Py4JError):
+            if state and (state() or "")[:2] in ("21", "22", "42"):
+                return True
+        cause = cause.getCause()
+    return False
+
+
 def _listed(tables: Mapping[str, DataFrame]) -> list[str]:
     return [row.tenant for row in listed_tenants(tables["tenant_registry"]).collect()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -56,6 +57,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there is removed when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="crosstally-")

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 #: Quotes inside a value are doubled; NULL and the empty string are both written as nothing.
 FORMAT = {"header": True, "escape": '"', "nullValue": "", "emptyValue": ""}
@@ -53,7 +60,26 @@ def write_report(
 
 
 def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).options(**FORMAT).option("multiLine", True).csv(path)
+    """The report under ``path`` with the columns of ``schema``, which are found by name.
+
+    A column that is missing, and a value that is not of its column's type, is an error.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    there = spark.read.options(**FORMAT).option("multiLine", True).csv(path).columns
+    missing = [name for name in schema.names if name not in there]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    as_written = StructType(
+        [schema[name] if name in schema.names else StructField(name, StringType()) for name in there]
+    )
+    rows = (
+        spark.read.schema(as_written)
+        .options(**FORMAT)
+        .options(multiLine=True, mode="FAILFAST", enforceSchema=False)
+        .csv(path)
+    )
+    return rows.select(*(f"`{name}`" for name in schema.names))
 
 
 def _drop_blank_names(rows: DataFrame) -> DataFrame:
@@ -76,7 +102,10 @@ def _in_order(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _columns_of(spark: SparkSession, path: str) -> list[str]:
     try:
         return spark.read.options(**FORMAT).csv(path).columns
-    except AnalysisException:
+    except AnalysisException as error:
+        # No report yet, or a folder in which none was written.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return []
 
 

@@ -8,18 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crosstally import values
+from crosstally.operators.grouping import members_of
 from crosstally.sources import jdbc
-from crosstally.sources.schemas import (
-    DOCUMENT_FAMILIES,
-    DOCUMENT_KEYS,
-    ENTITIES,
-    conform,
-    ddl,
-)
-
-#: Rows of one document that a task reads without trouble, however few the others have.
-HOT_ROWS = 1_000_000
-
+from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, conform, ddl
 
 class Catalog(Mapping[str, DataFrame]):
     """The entities by name, each read when it is first asked for."""
@@ -67,13 +59,17 @@ class Catalog(Mapping[str, DataFrame]):
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str) -> Catalog:
-        """``root/<entity>`` with a header line; an empty field is NULL only where it is unquoted."""
+        """``root/<entity>`` with a header line; an empty field is NULL only where it is unquoted.
+
+        A value that is not of its column's type, or a header other than the schema's, is an error.
+        """
 
         def load(entity: str) -> DataFrame:
             return (
                 spark.read.schema(ddl(entity))
                 .option("header", True)
                 .option("enforceSchema", False)
+                .option("mode", "FAILFAST")
                 .option("escape", '"')
                 .csv(f"{root}/{entity}")
             )
@@ -93,39 +89,68 @@ class Catalog(Mapping[str, DataFrame]):
         tenants: list[str],
         central: Mapping[str, str],
         partner_map: DataFrame,
+        of_entity: Mapping[str, Mapping] | None = None,
         **options,
     ) -> Catalog:
         """One database per tenant, with the registry and the notes in central ones.
 
         ``central`` names the database of ``warehouse`` and ``arsenal`` as ``registry`` and that of
-        ``debitnote`` as ``notes``. See :mod:`crosstally.sources.jdbc` for ``settings``.
+        ``debitnote`` as ``notes``. See :mod:`crosstally.sources.jdbc` for ``settings``. ``options``
+        are for all tables, ``of_entity`` has further ones by entity: large tables are split by
+        ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``, and headers and
+        items have no column of one name to split them by.
         """
 
         def load(entity: str) -> DataFrame:
+            own = {**options, **(of_entity or {}).get(entity, {})}
             if entity == "partner_map":
                 return partner_map
             if entity == "tenant_registry":
-                return jdbc.read_registry(spark, settings, central["registry"], **options)
+                return jdbc.read_registry(spark, settings, central["registry"], **own)
             if entity == "debitnote":
-                return jdbc.read_table(spark, settings, central["notes"], entity, **options)
-            return jdbc.read_tenants(spark, settings, tenants, entity, **options)
+                return jdbc.read_table(spark, settings, central["notes"], entity, **own)
+            return jdbc.read_tenants(spark, settings, tenants, entity, **own)
 
         return cls(load)
 
 
+def _to_save(catalog: Mapping[str, DataFrame], entity: str) -> DataFrame:
+    """The rows of an entity; items of issues get the months of their issue.
+
+    Reports with a first day skip items of earlier months by them. An item whose issue is not in the
+    catalog gets NULL and is never skipped; of several issues with one id, the latest counts.
+    """
+    rows = catalog[entity]
+    if entity != "purchase_issue_item" or "purchase_issue" not in catalog:
+        return rows
+    month = lambda column: F.trunc(F.max(column), "month")
+    months = (
+        catalog["purchase_issue"]
+        .groupBy("tenant", F.col("id").alias("purchase_issue_id"))
+        .agg(
+            month("created_on").alias(values.CREATED_MONTH),
+            month("invoice_date").alias(values.INVOICE_MONTH),
+        )
+    )
+    plain = rows.drop(values.CREATED_MONTH, values.INVOICE_MONTH)
+    return members_of(plain, months, ["tenant", "purchase_issue_id"], "left")
+
+
 def save_by_tenant(catalog: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
     """Write each entity as Parquet, partitioned by tenant, so a query of one tenant reads only it.
 
     The rebalance hint brings a tenant's rows together into files of the advisory size and splits
     a tenant that is much larger than that, so neither small files nor one huge task come out.
-    Within a file rows are sorted by time, which lets the date floors skip row groups.
+    Within a file rows are sorted by time, items by the month of their issue, which lets the date
+    floors skip row groups. Append items together with their issues.
     """
-    for entity, rows in catalog.items():
+    for entity in catalog:
+        rows = _to_save(catalog, entity)
         writer = rows
         if entity in DOCUMENT_KEYS:
             writer = rows.hint("rebalance", F.col("tenant"))
-            order = ["tenant"] + [name for name in ("created_on",) if name in rows.columns]
-            writer = writer.sortWithinPartitions(*order).write.partitionBy("tenant")
+            times = [c for c in ("created_on", values.CREATED_MONTH) if c in rows.columns]
+            writer = writer.sortWithinPartitions("tenant", *times).write.partitionBy("tenant")
         else:
             writer = rows.write
         writer.mode(mode).parquet(f"{root}/{entity}")
@@ -134,42 +159,35 @@ def save_by_tenant(catalog: Mapping[str, DataFrame], root: str, mode: str = "ove
 def save_by_document(
     catalog: Mapping[str, DataFrame],
     database: str,
-    buckets: int,
+    buckets: int | None = None,
     mode: str = "overwrite",
-    hot_rows: int = HOT_ROWS,
 ) -> None:
-    """Write each entity as a table bucketed by document, so headers meet their items unshuffled.
+    """Write each entity as a table, bucketed by document if ``buckets`` are given.
 
-    The bucket is a hash of tenant and document, so a tenant with a third of all rows still fills
-    every bucket alike. A single document of that size would not: its bucket is read by one task and
-    nothing can split it. So the largest document is measured first, and where it has more rows
-    than ``hot_rows`` and than an even bucket, the entities that share it are written without
-    buckets; their joins shuffle, and AQE splits the document.
+    The layout is the caller's choice and never the data's. Appending follows the tables that are
+    there, whatever ``buckets`` says. Buckets serve SQL that joins headers with items on tenant and
+    document and needs no shuffle then; a document with very many items is then read by one task. The
+    reports don't rely on buckets: their joins shuffle on any layout, so that Spark can split such a
+    document.
     """
     for entity in catalog:
-        if entity not in DOCUMENT_KEYS:
-            catalog[entity].write.mode(mode).saveAsTable(f"{database}.{entity}")
-    for family in DOCUMENT_FAMILIES:
-        members = [entity for entity in family if entity in catalog]
-        plain = any(
-            _largest_is_hot(catalog[entity], DOCUMENT_KEYS[entity], buckets, hot_rows)
-            for entity in members
-        )
-        for entity in members:
-            rows, keys = catalog[entity], DOCUMENT_KEYS[entity]
-            if plain:
-                rows.write.mode(mode).saveAsTable(f"{database}.{entity}")
-                continue
-            (
-                rows.repartition(buckets, *keys)
-                .write.bucketBy(buckets, *keys)
-                .sortBy(*keys)
-                .mode(mode)
-                .saveAsTable(f"{database}.{entity}")
-            )
+        rows, name = _to_save(catalog, entity), f"{database}.{entity}"
+        keys = DOCUMENT_KEYS.get(entity)
+        wanted = buckets
+        if mode == "append" and rows.sparkSession.catalog.tableExists(name):
+            wanted = _buckets_of(rows.sparkSession, name)
+            there = rows.sparkSession.table(name).columns
+            rows = rows.select(*(c if c in rows.columns else F.lit(None).alias(c) for c in there))
+        if wanted and keys:
+            shuffled = rows.repartition(wanted, *keys)
+            writer = shuffled.write.bucketBy(wanted, *keys).sortBy(*keys)
+        else:
+            writer = rows.write
+        writer.mode(mode).saveAsTable(name)
 
 
-def _largest_is_hot(rows: DataFrame, keys: tuple[str, ...], buckets: int, hot_rows: int) -> bool:
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
-    largest, total = sizes.agg(F.max("size"), F.sum("size")).first()
-    return largest is not None and largest > hot_rows and largest * buckets > total
+def _buckets_of(spark: SparkSession, table: str) -> int | None:
+    """How many buckets a table has, None if it has none."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'")
+    found = described.first()
+    return int(found.data_type) if found and int(found.data_type) > 0 else None

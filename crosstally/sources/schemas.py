@@ -91,13 +91,6 @@ DOCUMENT_KEYS = {
     "pre_purchase_issue_order": ("tenant", "id"),
 }
 
-#: Entities that are joined by document, and so must be laid out alike.
-DOCUMENT_FAMILIES = (
-    ("purchase_issue", "purchase_issue_item"),
-    ("inward_invoice", "inward_invoice_item", "debitnote"),
-    ("pre_purchase_issue_order",),
-)
-
 #: Columns a table may lack; nothing reads them but a query of the user's.
 OPTIONAL = {"tray_id", "invoice_sequence_type"}
 

@@ -227,14 +227,20 @@ WHERE NOT EXISTS (
   WHERE ii.tenant = pm.dest_tenant AND ii.invoice_no = n.debit_note_number AND {INVOICE_KEPT})""",
     "duplicate_str_inward_invoice": f"""{ENTITIES}
 SELECT ii.tenant, ii.invoice_no, string_agg(DISTINCT ii.status, ', ' ORDER BY ii.status) AS statuses,
-       string_agg(CAST(ii.created_on AS VARCHAR), ', ' ORDER BY ii.id) AS created_ons,
-       string_agg(DISTINCT ii.created_by, ', ' ORDER BY ii.created_by) AS created_by,
-       string_agg(CAST(ii.total AS VARCHAR), ', ' ORDER BY ii.id) AS total_amount_invoice,
-       count(*) AS total_count
+       min(ii.created_on) AS first_created_on, max(ii.created_on) AS last_created_on,
+       CAST(sum(ii.total) AS DECIMAL(28,2)) AS total_amount_invoice, count(*) AS total_count
 FROM inward_invoice ii JOIN active a ON a.tenant = ii.tenant
 WHERE ii.purchase_type IN {RETURN_TYPES} AND {INVOICE_KEPT}
   AND ii.created_on >= DATE '1997-01-01'
 GROUP BY ii.tenant, ii.invoice_no HAVING count(*) > 1""",
+    "duplicate_str_inward_invoice_members": f"""{ENTITIES}, counted AS (
+  SELECT ii.tenant, ii.invoice_no, ii.id, ii.status, ii.created_on, ii.created_by, ii.total,
+         count(*) OVER (PARTITION BY ii.tenant, ii.invoice_no) AS total_count
+  FROM inward_invoice ii JOIN active a ON a.tenant = ii.tenant
+  WHERE ii.purchase_type IN {RETURN_TYPES} AND {INVOICE_KEPT}
+    AND ii.created_on >= DATE '1997-01-01'
+)
+SELECT * FROM counted WHERE total_count > 1""",
     "pr_sales_without_note": f"""{ENTITIES}
 SELECT pi.tenant, pi.id AS purchase_issue_id, pi.pr_type, pi.debit_note_number,
        pi.partner_detail_id, pi.created_on, pi.status
@@ -256,14 +262,25 @@ FROM compared WHERE abs(diff) > 1.0""",
     "multi_cn_for_str_inward": f"""{ENTITIES}, {RETURN_INVOICES}
 SELECT d.return_order_id, min(d.note_type) AS note_type,
        min(d.partner_detail_id) AS partner_detail_id,
-       string_agg(d.debit_note_number, ', ' ORDER BY d.debit_note_number NULLS FIRST,
-                  d.credit_note_number NULLS FIRST) AS debit_note_numbers,
-       string_agg(d.credit_note_number, ', ' ORDER BY d.debit_note_number NULLS FIRST,
-                  d.credit_note_number NULLS FIRST) AS credit_note_numbers,
        count(DISTINCT d.debit_note_number) AS total_debit_note_numbers, d.tenant
-FROM debitnote d JOIN return_invoice ii ON ii.tenant = d.tenant AND ii.id = d.return_order_id
+FROM debitnote d
 WHERE d.note_type IN ('ICS_RETURN', 'ST_RETURN')
+  AND EXISTS (SELECT 1 FROM return_invoice ii
+              WHERE ii.tenant = d.tenant AND ii.id = d.return_order_id)
 GROUP BY d.tenant, d.return_order_id HAVING count(DISTINCT d.debit_note_number) > 1""",
+    "multi_cn_for_str_inward_notes": f"""{ENTITIES}, {RETURN_INVOICES}, of_invoice AS (
+  SELECT * FROM debitnote d
+  WHERE d.note_type IN ('ICS_RETURN', 'ST_RETURN')
+    AND EXISTS (SELECT 1 FROM return_invoice ii
+                WHERE ii.tenant = d.tenant AND ii.id = d.return_order_id)
+), several AS (
+  SELECT tenant, return_order_id, count(DISTINCT debit_note_number) AS total_debit_note_numbers
+  FROM of_invoice GROUP BY tenant, return_order_id HAVING count(DISTINCT debit_note_number) > 1
+)
+SELECT s.tenant, s.return_order_id, s.total_debit_note_numbers, d.debit_note_number,
+       d.credit_note_number, count(*) AS copies
+FROM of_invoice d JOIN several s ON s.tenant = d.tenant AND s.return_order_id = d.return_order_id
+GROUP BY ALL""",
     "no_cn_for_str_inward": f"""{ENTITIES}, {RETURN_INVOICES}
 SELECT ii.id AS invoice_id, ii.invoice_no, ii.created_on, ii.tenant
 FROM return_invoice ii

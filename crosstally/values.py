@@ -51,3 +51,7 @@ RETURN_INVOICES_SINCE = date(2025, 5, 28)
 
 # Between the values of a joined list.
 LIST_SEPARATOR = ", "
+
+# Columns of saved item tables: the months of an item's issue, by which old items are skipped.
+CREATED_MONTH = "issue_created_month"
+INVOICE_MONTH = "issue_invoice_month"

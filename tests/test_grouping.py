@@ -1,7 +1,8 @@
-"""Groups above the limit are spread over several rows that together list every member."""
+"""A group of any size is one row, and its members are rows of a report of their own."""
 
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 from conftest import DAY
 from crosstally import run_report
@@ -9,62 +10,63 @@ from crosstally import run_report
 RETURN = {"purchase_type": "ICSReturn", "created_on": DAY}
 
 
-def test_large_group_of_duplicates_is_listed_whole(tables):
+def test_group_of_duplicates_has_values_of_the_whole_group(tables):
     invoices = [
-        {**RETURN, "id": i, "invoice_no": None if i % 3 else f"DC{i % 4}", "created_by": f"u{i}"}
-        for i in range(200)
+        {
+            **RETURN,
+            "id": i,
+            "invoice_no": None if i % 3 else f"DC{i % 4}",
+            "created_by": f"u{i % 5}",
+            "status": "draft" if i == 0 else "live",
+            "total": Decimal(i),
+        }
+        for i in range(400)
     ]
     cat = tables(inward_invoice=invoices)
-    expected = Counter(row["invoice_no"] for row in invoices)
-    users = defaultdict(set)
+    groups = defaultdict(list)
     for row in invoices:
-        users[row["invoice_no"]].add(row["created_by"])
+        groups[row["invoice_no"]].append(row)
 
-    rows = run_report("duplicate_str_inward_invoice", cat, group_limit=20).collect()
-    assert len(rows) > len(expected)
-    listed, named = Counter(), defaultdict(set)
-    for row in rows:
-        assert row.total_count == expected[row.invoice_no]
-        assert len(row.created_ons.split(", ")) == len(row.total_amount_invoice.split(", "))
-        listed[row.invoice_no] += len(row.created_ons.split(", "))
-        assert not named[row.invoice_no] & set(row.created_by.split(", "))
-        named[row.invoice_no] |= set(row.created_by.split(", "))
-    assert listed == expected
-    assert named == users
+    rows = {r.invoice_no: r for r in run_report("duplicate_str_inward_invoice", cat).collect()}
+    assert set(rows) == set(groups)
+    for number, members in groups.items():
+        assert rows[number].total_count == len(members)
+        assert rows[number].statuses == ", ".join(sorted({m["status"] for m in members}))
+        assert rows[number].total_amount_invoice == sum(m["total"] for m in members)
+        assert rows[number].first_created_on == rows[number].last_created_on == DAY
 
-    whole = run_report("duplicate_str_inward_invoice", cat).collect()
-    assert sorted(row.total_count for row in whole) == sorted(expected.values())
+    listed = run_report("duplicate_str_inward_invoice_members", cat).collect()
+    assert sorted((r.id, r.invoice_no, r.created_by, r.total_count) for r in listed) == sorted(
+        ((m["id"], m["invoice_no"], m["created_by"], len(groups[m["invoice_no"]])) for m in invoices),
+    )
 
 
-def test_large_group_of_notes_is_listed_whole(tables):
+def test_group_of_notes_has_values_of_the_whole_group(tables):
     rng = random.Random(7)
     notes = [
         {
             "return_order_id": rng.choice([1, 1, 1, 2]),
             "debit_note_number": rng.choice(["DN1", "DN2", "DN3"]),
             "credit_note_number": rng.choice([None, "CN1", "CN1", "CN1", "CN2"]),
+            "note_type": "ICS_RETURN" if k == 0 else "ST_RETURN",
+            "partner_detail_id": "1" if k == 1 else "2",
         }
-        for _ in range(300)
+        for k in range(300)
     ]
-    cat = tables(
-        inward_invoice=[{**RETURN, "id": 1}, {**RETURN, "id": 2}], debitnote=notes
-    )
-    debits, credits = Counter(), Counter()
-    for note in notes:
-        debits[note["return_order_id"], note["debit_note_number"]] += 1
-        if note["credit_note_number"]:
-            credits[note["return_order_id"], note["credit_note_number"]] += 1
+    cat = tables(inward_invoice=[{**RETURN, "id": 1}, {**RETURN, "id": 2}], debitnote=notes)
+    rows = run_report("multi_cn_for_str_inward", cat).collect()
+    assert len(rows) == 2
+    for row in rows:
+        own = [n for n in notes if n["return_order_id"] == row.return_order_id]
+        assert row.total_debit_note_numbers == 3
+        assert row.note_type == min(n["note_type"] for n in own)
+        assert row.partner_detail_id == min(n["partner_detail_id"] for n in own)
 
-    for limit in (1, 7, 1000):
-        rows = run_report("multi_cn_for_str_inward", cat, group_limit=limit).collect()
-        assert (len(rows) == 2) == (limit == 1000)
-        got_debits, got_credits = Counter(), Counter()
-        for row in rows:
-            assert row.total_debit_note_numbers == 3
-            for note in row.debit_note_numbers.split(", "):
-                got_debits[row.return_order_id, note] += 1
-            for note in (row.credit_note_numbers or "").split(", "):
-                if note:
-                    got_credits[row.return_order_id, note] += 1
-        assert got_debits == debits
-        assert got_credits == credits
+    pairs = Counter(
+        (n["return_order_id"], n["debit_note_number"], n["credit_note_number"]) for n in notes
+    )
+    listed = run_report("multi_cn_for_str_inward_notes", cat).collect()
+    assert len(listed) == len(pairs)
+    assert {
+        (r.return_order_id, r.debit_note_number, r.credit_note_number): r.copies for r in listed
+    } == pairs

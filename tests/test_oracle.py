@@ -21,11 +21,13 @@ COUNTS = {
     "invalid_invoice_in_pr": (93, 813),
     "dc_created_str_not_created": (42, 398),
     "duplicate_str_inward_invoice": (29, 159),
+    "duplicate_str_inward_invoice_members": (99, 1053),
     "pr_sales_without_note": (31, 356),
     "non_regular_vendor_type": (232, 2147),
     "str_amount_mismatch": (339, 3451),
     "str_return_quantity_diff": (374, 3509),
     "multi_cn_for_str_inward": (48, 586),
+    "multi_cn_for_str_inward_notes": (116, 1361),
     "no_cn_for_str_inward": (105, 1030),
     "csv_report_roundtrip": (374, 3509),
     "recon_status": (966, 9183),

@@ -95,3 +95,27 @@ def test_names_with_dots(spark, tmp_path):
     rows = spark.createDataFrame([(1, 2)], "a int, b int").toDF("x.y", "z").coalesce(1)
     path = write_report(rows, str(tmp_path / "report"), columns=["z", "x.y"])
     assert text_of(path).splitlines() == ["z,x.y", "2,1"]
+
+
+def test_a_bad_value_is_an_error(spark, tmp_path):
+    path = tmp_path / "report"
+    write_report(spark.createDataFrame([(1, "x")], "a int, b string"), str(path))
+    (path / "part-more.csv").write_text("a,b\nseven,y\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|seven"):
+        read_report(spark, str(path), "a int, b string").collect()
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(spark.createDataFrame([("y", 2, 0.5)], "b string, a int, c double"), path)
+    assert read_report(spark, path, "a int, b string").collect() == [(2, "y")]
+    with pytest.raises(ValueError, match="no column d"):
+        read_report(spark, path, "a int, d string")
+
+
+def test_only_an_absent_report_counts_as_none(spark, tmp_path):
+    rows = spark.createDataFrame([(1,)], "a int")
+    write_report(rows, str(tmp_path / "new"), "append")
+    (tmp_path / "empty").mkdir()
+    write_report(rows, str(tmp_path / "empty"), "append")
+    assert read_report(spark, str(tmp_path / "empty"), "a int").count() == 1

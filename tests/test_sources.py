@@ -2,6 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, values
 from crosstally import Catalog, run_report
@@ -9,7 +10,7 @@ from crosstally.operators import routing
 from crosstally.session import shared_folder
 from crosstally.sources import jdbc
 from crosstally.sources.catalog import save_by_document, save_by_tenant
-from crosstally.sources.schemas import ENTITIES, OPTIONAL, SCHEMAS, conform
+from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, OPTIONAL, SCHEMAS, conform
 
 SENT = {
     "purchase_issue": [{"id": 1}, {"id": 2, "debit_note_number": "DC2"}],
@@ -82,20 +83,99 @@ def test_headers_meet_items_without_a_shuffle_when_bucketed(spark, tables, conf)
     spark.sql("DROP DATABASE bucketed CASCADE")
 
 
-def test_entities_with_a_hot_document_are_not_bucketed(spark, tables):
-    spark.sql("CREATE DATABASE IF NOT EXISTS hot")
-    cat = tables(**{**SENT, "inward_invoice_item": [{"batch": f"B{i}"} for i in range(20)]})
-    save_by_document(cat, "hot", buckets=4, hot_rows=10)
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_appending_follows_the_tables_that_are_there(spark, tables, buckets):
+    spark.sql("CREATE DATABASE appended")
+    save_by_document(tables(**SENT), "appended", buckets=buckets)
+    hot = {**SENT, "inward_invoice_item": [{"batch": f"B{i}"} for i in range(200)]}
+    save_by_document(tables(**hot), "appended", buckets=16 if buckets is None else None, mode="append")
 
     def bucketed(entity):
-        rows = spark.sql(f"DESCRIBE EXTENDED hot.{entity}").collect()
-        return any(row.col_name == "Num Buckets" for row in rows)
+        rows = spark.sql(f"DESCRIBE EXTENDED appended.{entity}").collect()
+        return any(row.col_name == "Num Buckets" and row.data_type == "4" for row in rows)
 
-    assert bucketed("purchase_issue") and bucketed("purchase_issue_item")
-    assert not any(bucketed(e) for e in ("inward_invoice", "inward_invoice_item", "debitnote"))
-    report = run_report("str_return_quantity_diff", Catalog.from_tables(spark, "hot"))
-    assert values(report, *NOTE) == REPORTED
-    spark.sql("DROP DATABASE hot CASCADE")
+    assert all(bucketed(entity) == bool(buckets) for entity in DOCUMENT_KEYS)
+    assert spark.table("appended.inward_invoice_item").count() == 201
+    cat = Catalog.from_tables(spark, "appended")
+    assert cat["purchase_issue"].count() == 4
+    spark.sql("DROP DATABASE appended CASCADE")
+
+
+def test_old_items_are_not_read(spark, tables, tmp_path, conf):
+    conf("spark.sql.maxMetadataStringLength", "10000")
+    first, last, old = datetime(2025, 9, 1), datetime(2025, 8, 31, 23), datetime(2024, 1, 5)
+    cat = tables(
+        purchase_issue=[
+            {"id": 1, "created_on": first, "invoice_date": old},
+            {"id": 2, "created_on": last, "invoice_date": first},
+            {"id": 3, "created_on": old},
+        ],
+        purchase_issue_item=[{"purchase_issue_id": k, "batch": f"B{k}"} for k in (1, 2, 3, 4)],
+    )
+    save_by_tenant(cat, str(tmp_path))
+    spark.sql("CREATE DATABASE dated")
+    save_by_document(cat, "dated", buckets=2)
+    for saved in (Catalog.from_parquet(spark, str(tmp_path)), Catalog.from_tables(spark, "dated")):
+        assert saved["purchase_issue_item"].count() == 4
+        for name in ("str_return_quantity_diff", "ucode_missing_dc_generated", "dc_created_str_not_created"):
+            for since in ("2025-08-31", "2025-09-01", "2023-01-01"):
+                given, wanted = run_report(name, saved, since=since), run_report(name, cat, since=since)
+                assert values(given, *given.columns) == values(wanted, *wanted.columns), (name, since)
+            month = "issue_invoice_month" if name.startswith("dc") else "issue_created_month"
+            scans = [x for x in plan_of(given, "formatted").splitlines() if "PushedFilters" in x]
+            assert any(f"GreaterThanOrEqual({month},2023-01-01)" in x for x in scans), name
+    spark.sql("DROP DATABASE dated CASCADE")
+
+
+@pytest.mark.parametrize(("line", "whole"), [("th001,x2,1,B,1.000,1.00", False), ("th001,2,1,B,1.000,1.00", True)])
+def test_a_bad_value_in_csv_is_an_error(spark, tables, tmp_path, line, whole):
+    cat = tables(**SENT)
+    for entity in cat:
+        cat[entity].write.option("header", True).csv(str(tmp_path / entity))
+    folder = tmp_path / "inward_invoice_item"
+    (folder / "part-more.csv").write_text("tenant,invoice_id,code,batch,quantity,net_amount\n" + line + "\n")
+    rows = Catalog.from_csv(spark, str(tmp_path))["inward_invoice_item"]
+    if whole:
+        assert rows.count() == 2 and len(rows.collect()) == 2
+    else:
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|x2"):
+            rows.collect()
+
+
+def test_partner_map_is_broadcast(spark, tables, tmp_path):
+    issues = tables(**SENT)["purchase_issue"].crossJoin(spark.range(50_000)).drop("id")
+    issues.withColumn("tray_id", F.uuid()).write.parquet(str(tmp_path / "issues"))
+    stored = spark.read.parquet(str(tmp_path / "issues"))
+    frame = routing.route(stored, routing.partner_map(spark, {k: "ar002" for k in range(900, 1200)}))
+    plan = plan_of(frame)
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan, plan
+    assert frame.count() == 100_000
+
+
+def test_options_by_entity(spark, tables, monkeypatch):
+    asked = {}
+
+    def read_table(spark, settings, database, table, **options):
+        asked[database, table] = options
+        rows = tables(**SENT)[table]
+        return rows if database == "notes" else rows.drop("tenant")
+
+    monkeypatch.setattr(jdbc, "read_table", read_table)
+    split = {"partitionColumn": "purchase_issue_id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
+    cat = Catalog.from_jdbc(
+        spark,
+        SETTINGS,
+        tenants=["th001"],
+        central={"registry": "central", "notes": "notes"},
+        partner_map=routing.partner_map(spark, {}),
+        of_entity={"purchase_issue_item": split},
+        sessionInitStatement="SET x = 1",
+    )
+    for entity in ("purchase_issue", "purchase_issue_item", "debitnote"):
+        cat[entity]
+    assert asked["th001", "purchase_issue"] == {"sessionInitStatement": "SET x = 1"}
+    assert asked["th001", "purchase_issue_item"] == {"sessionInitStatement": "SET x = 1", **split}
+    assert asked["notes", "debitnote"] == {"sessionInitStatement": "SET x = 1"}
 
 
 def test_columns_are_cast_and_further_ones_kept(spark):

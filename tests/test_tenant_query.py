@@ -1,6 +1,17 @@
-from conftest import values
-from crosstally import read_report, tenant_query, tenant_query_each, write_tenant_query_each
-from crosstally.plans.tenant_query import PRIMARY_PRE_ORDERS
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from conftest import plan_of, values
+from crosstally import (
+    Catalog,
+    read_report,
+    tenant_query,
+    tenant_query_each,
+    write_tenant_query_each,
+)
+from crosstally.plans.tenant_query import PRIMARY_PRE_ORDERS, takes_rows_one_by_one
+from crosstally.sources.catalog import save_by_tenant
 
 ORDERS = {
     "tenant_registry": [
@@ -92,3 +103,39 @@ def test_one_tenant_that_fails_keeps_no_other_from_being_written(spark, tables,
     refused = "SELECT nothing FROM {pre_purchase_issue_order}"
     failures = write_tenant_query_each(spark, refused, cat, path, mode="append")
     assert set(failures) == {"th001", "th002", "th004"}
+
+
+def test_infrastructure_errors_are_not_a_tenants(spark, tables, tmp_path):
+    (tmp_path / "file").write_text("not a folder")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        write_tenant_query_each(spark, ROW_WISE, tables(**ORDERS), str(tmp_path / "file" / "report"))
+
+
+@pytest.mark.parametrize(
+    ("text", "at_once"),
+    [
+        (ROW_WISE, True),
+        ("SELECT id, tenant, id + 1 AS more FROM {pre_purchase_issue_order} WHERE id > 1", True),
+        ("SELECT id FROM {pre_purchase_issue_order}", False),
+        ("SELECT id, 'x' AS tenant FROM {pre_purchase_issue_order}", False),
+        ("SELECT DISTINCT tenant FROM {pre_purchase_issue_order}", False),
+        ("SELECT * FROM {pre_purchase_issue_order} LIMIT 1", False),
+        ("SELECT tenant, row_number() OVER (ORDER BY id) AS n FROM {pre_purchase_issue_order}", False),
+        ("SELECT * FROM {debitnote} WHERE return_order_id > (SELECT min(id) FROM {debitnote} x)", False),
+        ("SELECT a.* FROM {debitnote} a JOIN {debitnote} b ON a.tenant = b.tenant", False),
+        ("SELECT * FROM {tenant_registry}", False),
+        ("SELECT nothing FROM {debitnote}", False),
+    ],
+)
+def test_text_that_takes_rows_one_by_one(spark, tables, text, at_once):
+    cat = tables(**ORDERS)
+    frames = {name: cat[name] for name in ("pre_purchase_issue_order", "debitnote", "tenant_registry") if f"{{{name}}}" in text}
+    assert takes_rows_one_by_one(spark, text, frames) == at_once
+
+
+def test_row_wise_text_is_one_scan(spark, tables, tmp_path):
+    save_by_tenant(tables(**ORDERS), str(tmp_path))
+    ((frame, failures),) = tenant_query_each(spark, ROW_WISE, Catalog.from_parquet(spark, str(tmp_path)), chunk=1)
+    assert not failures
+    assert plan_of(frame).count("FileScan parquet [id#") == 1
+    assert values(frame, "id", "tenant") == [(1, "th001"), (2, "th001"), (3, "ar002")]
