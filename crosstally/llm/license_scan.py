@@ -26,8 +26,11 @@ SENTENCES = {
         " associated documentation files (the \"Software\"), to deal in the Software without restriction,"
         " including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
         " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,"
-        " subject to the following conditions: The above copyright notice and this permission notice shall be"
-        " included in all copies or substantial portions of the Software"
+        " subject to the following conditions:"
+    ),
+    "mit-condition": (
+        "The above copyright notice and this permission notice shall be included in all copies or substantial"
+        " portions of the Software"
     ),
     "mit-disclaimer": (
         'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT'
@@ -73,6 +76,10 @@ SENTENCES = {
     ),
     "gpl-details": "See the GNU General Public License for more details",
     "bsd-grant": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
+        " that the following conditions are met:"
+    ),
+    "bsd-grant-1": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
         " that the following conditions are met: 1"
     ),
@@ -104,10 +111,10 @@ SENTENCES = {
 
 # Rules in the order in which they are tried, longer ones of a licence first.
 RULES = [
-    ("MIT", ["mit-title", "mit-grant", "mit-disclaimer", "mit-liability"]),
-    ("MIT", ["mit-title-2", "mit-grant", "mit-disclaimer", "mit-liability"]),
-    ("MIT", ["mit-grant", "mit-disclaimer", "mit-liability"]),
-    ("MIT", ["mit-grant"]),
+    ("MIT", ["mit-title", "mit-grant", "mit-condition", "mit-disclaimer", "mit-liability"]),
+    ("MIT", ["mit-title-2", "mit-grant", "mit-condition", "mit-disclaimer", "mit-liability"]),
+    ("MIT", ["mit-grant", "mit-condition", "mit-disclaimer", "mit-liability"]),
+    ("MIT", ["mit-grant", "mit-condition"]),
     ("MIT", ["mit-notice"]),
     ("MIT", ["mit-notice-2"]),
     ("ISC", ["isc-grant"]),
@@ -121,7 +128,9 @@ RULES = [
     ("GPL-3.0-only", ["gpl3-notice"]),
     ("GPL-3.0-only", ["gpl3-notice-2"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-3-Clause", ["bsd-grant-1", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("BSD-2-Clause", ["bsd-grant-1", "bsd-source", "bsd-binary"]),
     ("MPL-2.0", ["mpl-notice"]),
     ("Unlicense", ["unlicense-notice"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-notice"]),

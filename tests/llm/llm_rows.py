@@ -1,0 +1,61 @@
+"""Rows and small helpers that the tests of the text operators share."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import DataFrame, SparkSession
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long,"
+    # Names that operators use themselves.
+    " n_tokens string, target string, size string, kept string, node string, items string, _row string, copies string"
+)
+FILLER = ("x",) * 8
+LONG = " ".join(f"w{k % 977}" for k in range(30_000))
+
+#: NULLs in any column, empty and blank texts, no letters, very long texts, ties, repeated rows and ids,
+#: characters outside of ASCII, unusual white space, special strings.
+ODD = [
+    (1, "The cat sat on the mat and looked at the other cat.", "en", "a", 1),
+    (2, "The cat sat on the mat and looked at the other cat.", "en", "a", 1),
+    (2, "The cat sat on the mat and looked at the other cat.", "en", "a", 1),
+    (3, None, "en", "b", None),
+    (4, "", None, None, 0),
+    (5, " \t\n ", "de", None, 4),
+    (6, "12 34 ??? --- !!!", "de", "b", 3),
+    (7, LONG, "en", "c", 5),
+    (8, "Émile was naïve about 　 spaces\x1c and\x85 lines.\r\n\r\nNew  line <|endoftext|> x", None, "c", 5),
+    (9, "one", "fr", "\U0001f600", 6),
+    (None, "no id at all, just some text", "en", "a", 7),
+    (10, "ﬁne été İstanbul ΣΣ ١٢ can't I'LL x's \U0001f600\U0001f600", "fr", "�", 8),
+    (11, "one", "fr", "\U0001f600", 6),
+    (12, "Ab AB ab aB.", "en", "b", 9),
+    (5, "same id as a blank one", "en", "b", 9),
+]
+
+
+@pytest.fixture
+def odd(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(*row, *FILLER) for row in ODD], SCHEMA)
+
+
+@pytest.fixture
+def empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SCHEMA)
+
+
+def rows_of(spark: SparkSession, sf_dir: str, *columns: str, table: str = "documents") -> list[tuple]:
+    return [tuple(row) for row in spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns).collect()]
+
+
+def words(text: str | None, pattern: str = r"[^\x20\x09-\x0D]+") -> list[str]:
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(pattern, lower)
+
+
+def sentence(rng: random.Random, n: int, vocabulary: int = 5000) -> list[str]:
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]

@@ -1,0 +1,92 @@
+import duckdb
+
+import __spark_entry__ as driver
+from conftest import plan_of
+from crosstally.llm import license_scan
+from llm_rows import ODD, SF
+from llm_rows import empty, odd  # noqa: F401  (fixtures)
+
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def scanned(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.sentences, r.licences) for r in license_scan.scan(frame).orderBy("doc_id").collect()]
+
+
+def test_query_equals_sql(spark):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    wanted = db.execute(driver.oracle_sql()["op4_license_scan"]).fetchall()
+    got = driver.queries()["op4_license_scan"](spark, SF)
+    assert "Python" not in plan_of(got) and "Arrow" not in plan_of(got) and "Exchange" not in plan_of(got)
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+    assert any(row[3] for row in wanted)
+
+
+def test_whole_licences_and_notices(spark):
+    apache = ". ".join(license_scan.SENTENCES[f"apache-{p}"] for p in ("header", "copy", "disclaimer", "limits"))
+    gpl = "\n\n".join(license_scan.SENTENCES[n] + "." for n in ("gpl-grant-3", "gpl-hope", "gpl-details"))
+    got = scanned(
+        spark,
+        MIT,
+        f"# {apache}.",
+        gpl,
+        "Some text\nReleased under the MIT License.\nmore. Licensed under CC BY-NC 4.0. And on",
+        "It isn't released under the MIT License, it is said.",
+        MIT.replace("WITHOUT", "WITH"),
+        "RELEASED  under\nthe MIT\tLicense!",
+        "Released under the MIT License. Released under the MIT License.",
+    )
+    assert got[0] == (["mit-title", "mit-grant", "mit-condition", "mit-disclaimer", "mit-liability"], ["MIT"])
+    assert got[1] == (["apache-header", "apache-copy", "apache-disclaimer", "apache-limits"], ["Apache-2.0"])
+    assert got[2] == (["gpl-grant-3", "gpl-hope", "gpl-details"], ["GPL-3.0-or-later"])
+    assert got[3] == (["mit-notice", "cc-by-nc-notice"], ["MIT", "CC-BY-NC-4.0"])
+    assert got[4] == ([], [])
+    assert got[5][0] and "mit-disclaimer" not in got[5][0]
+    assert got[6] == (["mit-notice"], ["MIT"])
+    assert got[7] == (["mit-notice", "mit-notice"], ["MIT"])
+
+
+def test_rules_match_in_order_only(spark):
+    s = license_scan.SENTENCES
+    in_order = scanned(spark, ". ".join(s[n] for n in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")))
+    turned = scanned(spark, ". ".join(s[n] for n in ("bsd-source", "bsd-grant", "bsd-binary")))
+    shorter = scanned(spark, ". ".join(s[n] for n in ("bsd-grant", "bsd-source", "bsd-binary")))
+    assert in_order[0][1] == ["BSD-3-Clause"] and turned[0][1] == [] and shorter[0][1] == ["BSD-2-Clause"]
+
+
+def test_every_rule_is_made_of_known_sentences():
+    assert {name for _, rule in license_scan.RULES for name in rule} <= set(license_scan.SENTENCES)
+    forms = [license_scan.normalised(s) for s in license_scan.SENTENCES.values()]
+    assert len(set(forms)) == len(forms)
+
+
+def test_odd_rows(spark, odd, empty):
+    rows = license_scan.scan(odd).collect()
+    assert sorted((r.doc_id for r in rows), key=repr) == sorted((r[0] for r in ODD), key=repr)
+    assert all(r.sentences == [] and r.licences == [] for r in rows)
+    assert license_scan.scan(empty).collect() == []
+    long = "word " * 200_000 + ".\nLicensed under the Apache License, Version 2.0.\n" + "x" * 500_000
+    assert scanned(spark, long) == [(["apache-notice"], ["Apache-2.0"])]

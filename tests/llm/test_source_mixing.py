@@ -1,0 +1,104 @@
+import hashlib
+import random
+from collections import defaultdict
+from fractions import Fraction
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+from crosstally.llm import source_mixing
+from llm_rows import FILLER, ODD, SCHEMA, SF, rows_of, words
+from llm_rows import empty, odd  # noqa: F401  (fixtures)
+
+
+def targets(sizes, weights=(3, 1, 2), share=Fraction(3, 2), most=2):
+    """Words of each source, by sharing the excess again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {name: weights[k % len(weights)] for k, name in enumerate(names)}
+    full, left, open_ = {}, share * sum(sizes.values()), set(names)
+    while open_:
+        total = sum(weight[n] for n in open_)
+        over = {n for n in open_ if left * weight[n] / total > most * sizes[n]}
+        if not over:
+            break
+        for n in over:
+            full[n] = Fraction(most * sizes[n])
+        left -= sum(full[n] for n in over)
+        open_ -= over
+    return full | {n: left * weight[n] / total for n in open_}
+
+
+def check(rows, docs):
+    """``rows`` are those of mix(); ``docs`` doc_id, text and source."""
+    size = lambda text: len(words(text))
+    of_source, longest = defaultdict(int), defaultdict(int)
+    for _, text, source in docs:
+        of_source[source] += size(text)
+        longest[source] = max(longest[source], size(text))
+    wanted = targets(of_source)
+    assert sorted(((r.doc_id, r.source, r.size) for r in rows), key=repr) == sorted(
+        ((i, s, size(t)) for i, t, s in docs), key=repr
+    )
+    taken = defaultdict(int)
+    for r in rows:
+        assert r.source_size == of_source[r.source]
+        assert r.target == pytest.approx(float(wanted[r.source]), rel=1e-12)
+        assert 0 <= r.copies <= 2
+        taken[r.source] += r.copies * r.size
+    for source, target in wanted.items():
+        assert abs(taken[source] - target) <= 2 * longest[source] + 1, source
+
+
+def test_query_equals_sql(spark):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    wanted = db.execute(driver.oracle_sql()["op9_source_mixing"]).fetchall()
+    got = driver.queries()["op9_source_mixing"](spark, SF)
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+    check(source_mixing.mix(spark.read.parquet(f"{SF}/documents.parquet")).collect(), rows_of(spark, SF, "doc_id", "text", "source"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_uneven_sources(spark, seed):
+    rng = random.Random(seed)
+    names = [f"s{k:02}" for k in range(25)] + [None, "", "\U0001f600", "�"]
+    docs = [
+        (k, " ".join(["w"] * rng.randrange(60)), "s03" if rng.random() < 0.4 else rng.choice(names))
+        for k in range(3000)
+    ]
+    frame = spark.createDataFrame([(i, t, None, s, 1, *FILLER) for i, t, s in docs], SCHEMA)
+    rows = source_mixing.mix(frame).collect()
+    check(rows, docs)
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, source_mixing.mix(frame.repartition(7)).collect()), key=repr)
+    copies = defaultdict(int)
+    for row in source_mixing.mixed(frame).collect():
+        copies[row.doc_id] += 1
+    assert {r.doc_id: r.copies for r in rows if r.copies and r.size} == {
+        i: n for i, n in copies.items() if docs[i][1]
+    }
+
+
+def test_order_is_that_of_the_hash(spark):
+    docs = [(k, "a b", "one") for k in range(100)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    twice = {r.doc_id for r in source_mixing.mix(frame).where("copies = 2").collect()}
+    order = sorted(range(100), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    assert twice == set(order[:50])
+
+
+def test_odd_rows(spark, odd):
+    rows = source_mixing.mix(odd).collect()
+    check(rows, [(i, t, s) for i, t, _, s, _ in ODD])
+    mixed = source_mixing.mixed(odd)
+    assert mixed.columns == odd.columns
+    assert {(r.doc_id, r.text) for r in mixed.collect()} <= {(i, t) for i, t, *_ in ODD}
+
+
+def test_nothing_to_mix(spark, empty):
+    assert source_mixing.mix(empty).collect() == []
+    assert source_mixing.mixed(empty).collect() == []
+    blank = spark.createDataFrame([(1, " ", "a"), (2, None, None)], "doc_id long, text string, source string")
+    rows = source_mixing.mix(blank).collect()
+    assert [(r.size, r.source_size, r.target, r.copies) for r in rows] == [(0, 0, 0.0, 0)] * 2
+    assert source_mixing.mixed(blank).collect() == []
