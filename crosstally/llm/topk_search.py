@@ -85,25 +85,25 @@ class Grid:
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, schema)
 
 
-def _counted(q: pa.Table | None, c: pa.Table | None, scores: np.ndarray | None) -> dict:
-    """Histogram of each query's ``span`` scores from ``low`` on, in bins of ``width``, as far as it matters.
+def _counted(q: pa.Table | None, c: pa.Table | None, scores: np.ndarray | None, n_bins: int) -> dict:
+    """Histogram of each query's scores from ``low`` to below ``high``, in bins of ``width``, as far as it matters.
 
     Scores below the k-th of this block are left out: at least k in the block are higher, so the
-    query's k-th score can't be among them. Those above the span were counted before.
+    query's k-th score can't be among them. Those from ``high`` on were counted before.
     """
     if q is None:
         return {"vec_id": pa.array([], pa.int64()), "bin": pa.array([], pa.int32()), "n": pa.array([], pa.int64())}
-    k, width, span = (q[name][0].as_py() for name in ("k", "width", "span"))
-    low = q["low"].to_numpy()[:, None]
-    inside = (scores >= low) & (scores < low + span)
+    k, width = q["k"][0].as_py(), q["width"][0].as_py()
+    low, high = q["low"].to_numpy()[:, None], q["high"].to_numpy()[:, None]
+    inside = (scores >= low) & (scores < high)
     if scores.shape[1] > k:
         inside &= scores >= np.partition(scores, -k, axis=1)[:, -k][:, None]
     row, at = np.nonzero(inside)
     bins = (scores[row, at] - low[row, 0]) // width
-    cells, n = np.unique(row * BINS + bins, return_counts=True)
+    cells, n = np.unique(row * n_bins + bins, return_counts=True)
     return {
-        "vec_id": pa.array(q["vec_id"].to_numpy()[cells // BINS]),
-        "bin": pa.array((cells % BINS).astype(np.int32)),
+        "vec_id": pa.array(q["vec_id"].to_numpy()[cells // n_bins]),
+        "bin": pa.array((cells % n_bins).astype(np.int32)),
         "n": pa.array(n.astype(np.int64)),
     }
 
@@ -131,7 +131,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     id among its results. It gets all candidates if there are fewer than k, and none if there are none.
     Vectors are compared with vectors of their own dimension only. A repeated candidate row counts each
     time; a query id that occurs more than once is asked once, with its least vector. An empty table on
-    either side gives an empty result.
+    either side gives an empty result. Scores have to fit into a long.
     """
     candidates = candidates.select("vec_id", "dim", "vector")
     asked = kept(queries.groupBy("vec_id").agg(F.min(F.struct("vector", "dim")).alias("_v")).select("vec_id", "_v.dim", "_v.vector"), "queries")
@@ -140,33 +140,35 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     reach = int((sizes.norm or 0) ** 0.5 * (asked_sizes.norm or 0) ** 0.5 * 1.000001) + 2  # no score is beyond
     grid = Grid(candidates, asked_sizes.n, sizes.n)
 
-    span = 2 * reach + 1
-    # above: how many scores lie above the span looked at.
-    state = asked.select("vec_id", F.lit(-reach).cast("long").alias("low"), F.lit(0).cast("long").alias("above"))
+    if reach >= 1 << 61:
+        raise ValueError("scores of these vectors don't fit into a long")
+    span, n_bins = 2 * reach + 1, BINS
+    # above: how many scores there are from high on.
+    state = asked.select(
+        "vec_id", *(F.lit(n).cast("long").alias(name) for name, n in (("low", -reach), ("high", reach + 1), ("above", 0)))
+    )
     while span > 1:
-        width = -(-span // BINS)
+        width = -(-span // n_bins)
         current = asked.join(state, "vec_id").select(
-            "vec_id", "dim", "vector", F.lit(k).alias("k"), "low", *(F.lit(n).cast("long").alias(name) for name, n in (("width", width), ("span", span)))
+            "vec_id", "dim", "vector", F.lit(k).alias("k"), "low", "high", F.lit(width).cast("long").alias("width")
         )
-        counts = grid.each_cell(current, _counted, "vec_id long, bin int, n long")
+        counts = grid.each_cell(current, lambda *cell: _counted(*cell, n_bins), "vec_id long, bin int, n long")
         counts = counts.groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
         upper = W.partitionBy("vec_id").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)
-        found = (
+        kth = (
             counts.join(state, "vec_id")
-            .withColumn("_upto", F.sum("n").over(upper) + F.col("above"))  # at most BINS rows a query
-            .withColumn("_reached", F.col("_upto") >= k)
-            .groupBy("vec_id")
-            .agg(
-                F.max(F.when(F.col("_reached"), F.struct("bin", (F.col("_upto") - F.col("n")).alias("above")))).alias("_kth"),
-                F.min("low").alias("low"),
-                F.min("above").alias("above"),
-            )
+            .withColumn("_upto", F.sum("n").over(upper) + F.col("above"))  # at most n_bins rows a query
+            .where(F.col("_upto") >= k)
+            .groupBy(F.col("vec_id").alias("_vec_id"))
+            .agg(F.max(F.struct("bin", (F.col("_upto") - F.col("n")).alias("above"))).alias("_kth"))
         )
-        # With fewer than k scores there is no k-th; then every score is wanted.
+        # A query with fewer than k scores has no k-th; then every score is wanted.
+        start = F.col("low") + F.col("_kth.bin").cast("long") * width
         state = kept(
-            found.select(
+            state.join(kth, F.col("vec_id") == F.col("_vec_id"), "left").select(
                 "vec_id",
-                F.coalesce(F.col("low") + F.col("_kth.bin") * width, F.col("low")).alias("low"),
+                F.coalesce(start, F.col("low")).alias("low"),
+                F.when(start.isNull(), F.col("low")).otherwise(F.least(start + width, F.col("high"))).alias("high"),
                 F.coalesce(F.col("_kth.above"), F.col("above")).alias("above"),
             ),
             "kth-scores",

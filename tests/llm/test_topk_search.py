@@ -64,11 +64,16 @@ def test_repeated_rows(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(0, [3e5, 1e-2]), (1, [3e5 + 1 / 64, 0.0]), (2, [3e5, 0.0]), (20, [3e8, 3e8])]
+    rows = [(0, [3e5, 1e-2]), (1, [3e5 + 1 / 64, 0.0]), (2, [3e5, 0.0]), (20, [3e6, 3e6])]
     frame = frame_of(spark, rows)
     assert search(frame) == expected([(r.vec_id, r.embedding) for r in frame.collect()])
 
 
+def test_scores_beyond_a_long_are_refused(spark):
+    with pytest.raises(ValueError, match="long"):
+        search(frame_of(spark, [(0, [1e12]), (1, [1e12])]))
+
+
 def test_empty(spark):
     assert search(frame_of(spark, [])) == []
     assert search(frame_of(spark, [(0, [1.0])])) == []
