@@ -9,7 +9,8 @@ that was compared with all others of a bucket leaves it. This goes on until no b
 different components that were not compared, so that no link is lost, and a group of near copies costs
 about as many comparisons as it has members.
 
-Pairs are checked on their signatures first and then on their full sets.
+Pairs have to pass three tests: a bound on their differences that no similar pair fails, taken from
+sketches where nodes meet in a bucket, then agreement of their signatures, then that of their full sets.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ HASHES = BANDS * ROWS
 #: A pair whose signatures agree less is not checked further. At a similarity of 0.8 this is more than
 #: six standard deviations below what is expected.
 LEAST_AGREEMENT = 0.62
-#: Nodes that others of a bucket are compared with in one round, after the first two.
-PIVOTS = 64
+#: 64-bit words of a sketch.
+WORDS = 16
+#: Nodes that others of a bucket are compared with in one turn, after the first two.
+PIVOTS = 4096
 #: Documents fetched by a broadcast of their ids (16 bytes each); more are fetched by a shuffled join.
 FETCHED = 1_000_000
 
@@ -74,7 +77,26 @@ def signature(found: np.ndarray) -> np.ndarray:
     return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype("<u2")
 
 
-SIGNED = "doc_id {kind}, _key long, n_shingles long, digest binary, signature binary"
+def sketch(found: np.ndarray) -> np.ndarray:
+    """For each of a number of bits, whether an odd number of shingles falls on it, in 64-bit words."""
+    odd = np.bincount((found & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+SKETCH = ", ".join(f"s{k}:bigint" for k in range(WORDS))
+SIGNED = (
+    "doc_id {kind}, _key long, n_shingles long, digest binary, signature binary, sketch struct<" + SKETCH + ">"
+)
+
+
+def _not_too_far(percent: int) -> F.Column:
+    """Whether two nodes (``n_shingles`` and ``sketch``, ``_n`` and ``_sketch``) may be similar enough.
+
+    Each shingle that only one of them has changes one bit of the sketch, so at least as many shingles
+    differ as bits do. No similar pair fails this, however the shingles fall.
+    """
+    bits = [F.bit_count(F.col(f"sketch.s{k}").bitwiseXOR(F.col(f"_sketch.s{k}"))) for k in range(WORDS)]
+    return (100 + percent) * sum(bits[1:], bits[0]) <= (100 - percent) * (F.col("n_shingles") + F.col("_n"))
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
@@ -83,8 +105,10 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             sizes, digests, signatures = [], [], []
-            for text in rows["_text"]:
+            sketches = np.zeros((rows.num_rows, WORDS), np.int64)
+            for k, text in enumerate(rows["_text"]):
                 found = shingles(text.as_py(), width)
+                sketches[k] = sketch(found)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signatures.append(signature(found).tobytes() if len(found) else None)
@@ -95,8 +119,12 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(signatures, pa.binary()),
+                    pa.StructArray.from_arrays(
+                        [pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(WORDS)],
+                        [f"s{k}" for k in range(WORDS)],
+                    ),
                 ],
-                ["doc_id", "_key", "n_shingles", "digest", "signature"],
+                ["doc_id", "_key", "n_shingles", "digest", "signature", "sketch"],
             )
 
     return docs.mapInArrow(sign, SIGNED.format(kind=docs.schema["doc_id"].dataType.simpleString()))
@@ -168,8 +196,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) ->
     )
 
 
-def _to_compare(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to look at in this turn, and what is left of the buckets."""
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The buckets that hold nodes of several components, with each node's and the largest one's label."""
     known = members.join(labels, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
@@ -180,7 +208,11 @@ def _to_compare(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataF
         .where("_components > 1")
         .select("_key", (-F.col("_largest.col2")).alias("_largest"))
     )
-    known = kept(known.join(mixed, F.col("key").eqNullSafe(F.col("_key"))).drop("_key"), "mixed-buckets")
+    return kept(known.join(mixed, F.col("key").eqNullSafe(F.col("_key"))).drop("_key"), "mixed-buckets")
+
+
+def _to_compare(known: DataFrame, nodes: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs to look at in this turn, and what is left of the buckets."""
     # First the least node, then some of the largest component, then those outside it.
     chosen = [F.lit(True), F.col("component") == F.col("_largest"), F.col("component") != F.col("_largest")][min(turn, 2)]
     groups = [1, 4, PIVOTS][min(turn, 2)]
@@ -191,9 +223,14 @@ def _to_compare(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataF
         .select("_key", F.col("_pivot.node").alias("_node"), F.col("_pivot.component").alias("_component"))
     )
     pivots = kept(pivots, "pivots")
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    theirs = sketches.select(F.col("node").alias("_node"), F.col("n_shingles").alias("_n"), F.col("sketch").alias("_sketch"))
+    may_be_linked = (
+        F.col("key").eqNullSafe(F.col("_key")) & (F.col("component") != F.col("_component")) & _not_too_far(percent)
+    )
     pairs = (
-        known.join(pivots, F.col("key").eqNullSafe(F.col("_key")))
-        .where(F.col("component") != F.col("_component"))
+        known.join(sketches, "node")
+        .join(pivots.join(theirs, "_node"), may_be_linked)
         .select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
         .distinct()
     )
@@ -232,7 +269,12 @@ def _resolved(texts: DataFrame, width: int, percent: int) -> DataFrame:
     nodes = kept(
         rows.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("least"), F.any_value("signature").alias("signature"))
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.any_value("n_shingles").alias("n_shingles"),
+            F.any_value("signature").alias("signature"),
+            F.any_value("sketch").alias("sketch"),
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -248,7 +290,7 @@ def _resolved(texts: DataFrame, width: int, percent: int) -> DataFrame:
     )
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        rows.drop("signature")
+        rows.drop("signature", "sketch")
         # Rows without a set look for something that isn't there, each elsewhere.
         .withColumn("_look", F.coalesce("digest", F.encode(F.concat(F.lit("-"), F.col("doc_id")), "utf-8")))
         .join(reached, F.col("_look").eqNullSafe(F.col("_digest")), "left")
@@ -262,9 +304,9 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
     members = kept(in_buckets(nodes), "buckets")
     signatures = nodes.select("node", "signature")
     labels = nodes.select("node", F.col("node").alias("component")).limit(0)
-    links, compared, turn = None, None, 0
+    links, compared, sets, turn = None, None, None, 0
     while not members.isEmpty():
-        pairs, members = _to_compare(members, labels, turn)
+        pairs, members = _to_compare(_mixed(members, labels), nodes, turn, percent)
         turn += 1
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
@@ -275,8 +317,13 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
         alike = kept(_alike(pairs, signatures, "signature", _signatures_agree), "alike")
         if alike.isEmpty():
             continue
-        wanted = alike.select(F.col("a").alias("node")).unionByName(alike.select(F.col("b").alias("node"))).distinct()
-        sets = kept(sets_of(texts, nodes, wanted, width), "sets")
+        wanted = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        wanted = kept(wanted, "wanted")
+        if not wanted.isEmpty():
+            more = kept(sets_of(texts, nodes, wanted, width), "sets")
+            sets = more if sets is None else sets.unionByName(more)
         found = kept(_alike(alike, sets, "members", _sets_agree(percent)), "links")
         if found.isEmpty():
             continue
