@@ -22,6 +22,8 @@ from crosstally.llm.common import WORDS, kept, text_of
 #: Ranges that one source's shuffled order, and the order of finish times, are cut into.
 SOURCE_RANGES = 1024
 TIME_RANGES = 4096
+#: Sources whose places are sent to all tasks (some 100 bytes each); more are joined by a shuffle.
+FEW_SOURCES = 100_000
 
 
 def running_sum(rows: DataFrame, groups: Sequence[str], part: str, order: Sequence[Column], value: str) -> DataFrame:
@@ -117,10 +119,10 @@ def mix(
         .withColumn("_time", (F.col("_upto") + F.col("_copy") * F.col("source_size")) / F.nullif("target", F.lit(0.0)))
         .drop("_upto", "_range")
     )
-    # Sources without words have no time; they are not in the queue.
-    queue = copies.withColumn(
-        "_range", F.least(F.floor(F.coalesce("_time", F.lit(0.0)) * (TIME_RANGES // 2)), F.lit(TIME_RANGES)).cast("int")
-    )
+    # Sources without words have no time; they are not in the queue. Half of the ranges are for times up
+    # to 1, when all targets are reached, and half for what comes after, however late.
+    time = F.coalesce("_time", F.lit(0.0))
+    queue = copies.withColumn("_range", F.floor(time / (time + 1) * TIME_RANGES).cast("int"))
     by_time = [F.col(c) for c in ("_time", "source", "_copy")] + [order, F.col("doc_id"), F.col("size")]
     served = running_sum(queue, [], "_range", by_time, "size")
     budget = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("_budget"))
@@ -162,8 +164,10 @@ def mixed(docs: DataFrame, *, id_column: str = "doc_id", source_column: str = "s
     row = docs.select(F.struct("*").alias("_row"), F.col(source_column).alias("_of"), F.col(id_column).alias("doc_id"))
     own = row.select("_row", "_of", place.alias("_at"))
     times = sum((F.coalesce(F.col("_at") <= F.col(f"_place{k}"), F.lit(False)).cast("int") for k in range(most)), F.lit(0))
+    places = kept(places, "places")
+    near = F.broadcast(places) if places.count() <= FEW_SOURCES else places
     return (
-        own.join(places, F.col("_of").eqNullSafe(F.col("source")))
+        own.join(near, F.col("_of").eqNullSafe(F.col("source")))
         .withColumn("_each", F.explode(F.array_repeat(F.lit(0), times)))
         .select("_row.*")
     )
