@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import kept, text_of, tokenizer
+from crosstally.llm.common import kept, text_of, tidy, tokenizer
 
 #: Most frequent pre-tokens that are sent to all tasks, and the most characters of one of them. With
 #: these bounds the table is some ten megabytes at the very most, whatever the corpus holds.
 COMMON = 1 << 18
 COMMON_LENGTH = 32
+#: Keys over which rows that have no pre-token are spread in the join.
+SPREAD = 4999
 #: Distinct pre-tokens a task counts before it passes on what it has.
 COUNTED = 400_000
 
@@ -57,7 +59,7 @@ def frequencies(texts: DataFrame) -> DataFrame:
             ["piece", "n"],
         )
 
-    rows = texts.select("_text").mapInArrow(count, "piece string, n long")
+    rows = texts.select("_text").mapInArrow(tidy(count), "piece string, n long")
     return rows.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
@@ -70,7 +72,7 @@ def piece_sizes(frequency: DataFrame, path: str) -> DataFrame:
             sizes = pa.array([len(encoding) for encoding in found], pa.int64())
             yield pa.RecordBatch.from_arrays([rows["piece"], rows["n"], sizes], ["piece", "n", "tokens"])
 
-    return frequency.mapInArrow(size, "piece string, n long, tokens long")
+    return frequency.mapInArrow(tidy(size), "piece string, n long, tokens long")
 
 
 def token_counts(
@@ -114,7 +116,7 @@ def token_counts(
                     else:
                         total += size * times
                 of.append(k)
-                piece.append(None)
+                piece.append(f"- {k % SPREAD}")
                 n.append(0)
                 tokens.append(total)
             at = pa.array(of, pa.int32())
@@ -132,9 +134,9 @@ def token_counts(
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
     parts = texts.withColumn("n_bytes", F.octet_length("_text").cast("long")).mapInArrow(
-        split, f"doc_id {id_type}, _key long, n_bytes long, piece string, n long, common long"
+        tidy(split), f"doc_id {id_type}, _key long, n_bytes long, piece string, n long, common long"
     )
-    # A document's own row meets no pre-token: its piece is NULL.
+    # A document's own row meets no pre-token: none has a blank inside.
     summed = (
         parts.join(sizes.select("piece", "tokens"), "piece", "left")
         .groupBy("doc_id", "_key", "n_bytes")
