@@ -15,23 +15,34 @@ each id of the vocabulary) lies beside them.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.normalizers import Sequence
+from tokenizers.pre_tokenizers import ByteLevel
 
-from crosstally.llm.common import kept, text_of, tokenizer
+from crosstally.llm.common import kept, sliced, text_of, tidy, tokenizer
 
-#: Pieces a worker remembers the ids of; beyond that it starts anew. Results don't depend on it.
-REMEMBERED = 1_000_000
+#: Pieces that a worker remembers (some 30 bytes each), and bytes of text it looks at in one go. Results
+#: depend on neither.
+REMEMBERED = 500_000
+SLICE = 8_000_000
 #: Ids in a shard on average, where that makes more shards than the session's shuffle partitions.
 IDS_PER_SHARD = 64_000_000
 
+#: Letters of Latin-1, and the marks behind them that neither an elision nor a special string begins with.
+LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?$&%*#()-]*)")
+
 #: Number of bytes of each of the four ids that a control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -39,100 +50,204 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 # -- coding -------------------------------------------------------------------------------------
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ``ranks``; the last control byte is filled up with zeros."""
+def encode_many(ranks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code runs of ``ranks`` of the given ``sizes``, which follow each other.
+
+    Returns all control bytes and where those of each run begin and the last end, then the same of the
+    data bytes. A run's last control byte is filled up with zeros.
+    """
     ranks = ranks.astype("<u4", copy=False)
     extra = (ranks > 0xFF).astype(np.uint8)
     extra += ranks > 0xFFFF
     extra += ranks > 0xFFFFFF
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = extra
+    control_at, place = _places(sizes)
+    codes = np.zeros(4 * control_at[-1], np.uint8)
+    codes[place] = extra
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    wanted = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[wanted].tobytes()
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= extra[:, None]]
+    upto = np.concatenate([[0], np.cumsum(extra, dtype=np.int64) + np.arange(1, len(extra) + 1)])
+    return control, control_at, data, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks that :func:`encode_ranks` made these bytes of."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    ends = np.cumsum(lengths, dtype=np.int64)
-    starts = ends - lengths
-    source = np.frombuffer(data, np.uint8)
-    ranks = source[starts].astype("<u4")
+def decode_many(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranks that :func:`encode_many` made these bytes of."""
+    _, place = _places(sizes)
+    lengths = LENGTHS[control].reshape(-1)[place]
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    ranks = data[starts].astype("<u4")
     for k in (1, 2, 3):
         longer = np.flatnonzero(lengths > k)
         if not len(longer):
             break
-        ranks[longer] |= source[starts[longer] + k].astype("<u4") << np.uint32(8 * k)
+        ranks[longer] |= data[starts[longer] + k].astype("<u4") << np.uint32(8 * k)
     return ranks
 
 
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the control bytes of each run begin, and the place of each rank's two bits in all of them."""
+    control_at = np.concatenate([[0], np.cumsum(-(-sizes // 4))])
+    first = np.repeat(4 * control_at[:-1] - (np.cumsum(sizes) - sizes), sizes)
+    return control_at, first + np.arange(len(first))
+
+
+def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of one run of ranks."""
+    control, _, data, _ = encode_many(ranks, np.array([len(ranks)]))
+    return control.tobytes(), data.tobytes()
+
+
+def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` ranks that :func:`encode_ranks` made these bytes of."""
+    return decode_many(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.array([n]))
+
+
+def _flat(column: pa.Array, kind: np.dtype | type = np.uint8) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column as one array of ``kind``, and the size of each row's in it."""
+    kind = np.dtype(kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data and len(column) else np.zeros(0, np.uint8)
+    return whole.view(kind), np.diff(offsets).astype(np.int64) // kind.itemsize
+
+
+def _binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A binary column of ``values``, whose rows begin at ``at``."""
+    offsets = pa.array((at * values.itemsize).astype(np.int64)).buffers()[1]
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, offsets, data]).cast(pa.binary())
+
+
 # -- ids of texts -------------------------------------------------------------------------------
 
 
-class PieceIds(dict):
-    """Ids of the pieces between blanks, as little-endian 32-bit integers.
+class PieceIds:
+    """Ids of the pieces between blanks and line ends, as little-endian integers of ``kind``.
 
     The word tokenizer drops white space before it looks at anything else, so that ids of a text are
-    those of its pieces between blanks, one after the other; special strings hold no blank. A piece is
-    given to the library once and remembered.
+    those of its pieces, one after the other; special strings hold no white space. The library is given
+    each piece once. Pieces and ids are remembered in arrays, the most used of them when they get many.
+
+    A piece of Latin letters, with marks or none behind them, needs no normalisation but lower case, and is
+    cut before the marks. Its letters go to the library as a word that is cut already, without the
+    tokenizer's patterns, which take most of the time otherwise. All other pieces go to it as they are.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = tokenizer(path)
-
-    def ids(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text."""
-        split = [text.split(" ") for text in texts]
-        if len(self) > REMEMBERED:
-            self.clear()
-        missing = list(set().union(*split) - self.keys())
-        found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-        for piece, encoding in zip(missing, found, strict=True):
-            self[piece] = np.array(encoding.ids, "<u4").tobytes()
-        return [b"".join(map(self.__getitem__, pieces)) for pieces in split]
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = Sequence([])
+        self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kind = id_kind(path)
+        self.pieces = pa.array([], pa.string())
+        self.ids = pa.LargeListArray.from_arrays(pa.array([0]), pa.array([], pa.from_numpy_dtype(self.kind)))
+        self.used = np.zeros(0, np.float32)
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's begin and the last ends."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        place = self._places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = pc.list_value_length(self.ids).to_numpy(zero_copy_only=False)[place]
+        ids = self.ids.take(pa.array(place)).flatten().to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        pieces = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        return ids, upto[pieces]
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the ids of each of ``pieces``, which differ, are found in ``self.ids``."""
+        if len(self.pieces) > REMEMBERED:
+            stay = pa.array(np.argsort(-self.used, kind="stable")[: REMEMBERED // 2])
+            self.pieces, self.ids, self.used = self.pieces.take(stay), self.ids.take(stay), self.used[stay] / 2
+        place = pc.index_in(pieces, self.pieces)
+        missing = pieces.filter(place.is_null())
+        place = place.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.pieces) + np.arange(len(missing))
+        found = self._looked_up(missing.to_pylist())
+        self.pieces = pa.concat_arrays([self.pieces, missing])
+        self.ids = pa.concat_arrays([self.ids, found])
+        self.used = np.concatenate([self.used, np.zeros(len(missing), np.float32)])
+        self.used[place] += 1
+        return place
+
+    def _bytes_at(self, place: pa.Array) -> list[bytes]:
+        own = self.ids.take(place)
+        data = own.flatten().to_numpy().tobytes()
+        ends = np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False)) * self.kind.itemsize
+        starts = [0, *ends.tolist()]
+        return [data[start:end] for start, end in zip(starts, starts[1:], strict=False)]
+
+    def _looked_up(self, pieces: list[str]) -> pa.Array:
+        cut = [match and (match[1].lower(), match[2]) for match in map(LETTERS.fullmatch, pieces)]
+        words = pa.array({found[0] for found in cut if found}, pa.string())
+        place = pc.index_in(words, self.pieces)  # met before, as a piece without marks
+        known = words.filter(place.is_valid()).to_pylist()
+        ids = dict(zip(known, self._bytes_at(place.drop_null()), strict=True))
+        for part in sliced(words.filter(place.is_null()).to_pylist(), 20_000):
+            found = self.words.encode(part, is_pretokenized=True, add_special_tokens=False)
+            data = np.array(found.ids, self.kind).tobytes()
+            sizes = np.bincount(np.array(found.word_ids), minlength=len(part)) * self.kind.itemsize
+            ends = np.cumsum(sizes)
+            bounds = zip(part, (ends - sizes).tolist(), ends.tolist(), strict=True)
+            ids.update((word, data[start:end]) for word, start, end in bounds)
+        others = [piece for piece, found in zip(pieces, cut, strict=True) if not found]
+        others += {found[1] for found in cut if found}
+        for part in sliced(others, 20_000):
+            whole = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            ids.update((piece, np.array(e.ids, self.kind).tobytes()) for piece, e in zip(part, whole, strict=True))
+        every = [ids[f[0]] + ids[f[1]] if f else ids[piece] for piece, f in zip(pieces, cut, strict=True)]
+        ends = np.cumsum(np.fromiter(map(len, every), np.int64, len(every))) // self.kind.itemsize
+        values = pa.array(np.frombuffer(b"".join(every), self.kind))
+        return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), values)
 
 
 _piece_ids: dict[str, PieceIds] = {}
 
 
-def texts_to_ids(path: str, texts: list[str]) -> Iterator[bytes]:
-    """Ids of each text; a few megabytes of text at a time, so that very long ones don't pile up."""
-    known = _piece_ids.setdefault(path, PieceIds(path))
-    start, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size > 1_000_000 or k == len(texts) - 1:
-            yield from known.ids(texts[start : k + 1])
-            start, size = k + 1, 0
+@cache
+def id_kind(path: str) -> np.dtype:
+    """The narrowest type that holds every id of the vocabulary."""
+    return np.dtype("<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+
 
+def token_ids(texts: DataFrame, path: str) -> DataFrame:
+    """doc_id and the ids of the column ``_text``, as bytes of the vocabulary's :func:`id_kind`."""
 
-def id_counts(texts: DataFrame, path: str, end_id: int) -> DataFrame:
-    """How often each id occurs in the column ``_text``, end ids included: id, n."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _piece_ids.get(path) or _piece_ids.setdefault(path, PieceIds(path))
+        for rows in batches:
+            # A few megabytes at a time, so that the pieces of very long texts don't pile up.
+            ends = np.cumsum(pc.binary_length(rows["_text"]).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE)) + 1), rows.num_rows]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if start == stop:
+                    continue
+                ids, at = known.texts(rows["_text"].slice(start, stop - start))
+                yield pa.RecordBatch.from_arrays(
+                    [rows["doc_id"].slice(start, stop - start), _binary(ids, at)], ["doc_id", "ids"]
+                )
+
+    return texts.select("doc_id", "_text").mapInArrow(tidy(encode), "doc_id long, ids binary")
+
+
+def id_counts(ids: DataFrame, kind: np.dtype, end_id: int) -> DataFrame:
+    """How often each id occurs in what :func:`token_ids` gives, end ids included: id, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(end_id + 1, np.int64)
         for rows in batches:
-            for ids in texts_to_ids(path, rows["_text"].to_pylist()):
-                total = _added(total, np.bincount(np.frombuffer(ids, "<u4")))
-            total = _added(total, np.bincount([end_id]) * rows.num_rows)
+            total[end_id] += rows.num_rows
+            more = np.bincount(_flat(rows["ids"], kind)[0])
+            total = np.pad(total, (0, max(0, len(more) - len(total))))
+            total[: len(more)] += more
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
-    counted = texts.select("_text").mapInArrow(count, "id long, n long")
+    counted = ids.select("ids").mapInArrow(tidy(count), "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    if len(a) < len(b):
-        a, b = b, a.copy()
-    a[: len(b)] += b
-    return a
-
-
-def ranked_ids(counts: Sequence[tuple[int, int]], size: int) -> np.ndarray:
+def ranked_ids(counts: list[tuple[int, int]], size: int) -> np.ndarray:
     """All ids below ``size``, the most frequent first, ties and unused ones by id."""
     n = np.zeros(size, np.int64)
     for k, times in counts:
@@ -162,37 +277,37 @@ def write_tokens(
     kept, in the order of their number of tokens and bytes. Further columns are not looked at. An
     empty table gives empty files.
 
-    Two passes are made over the texts, one that counts ids and one that codes them. What is brought
-    to the driver is a count for each id of the vocabulary. Only the coded bytes are shuffled.
+    The library reads each text once; the ids are written down, counted, and then coded by rank. What is
+    brought to the driver is a count for each id of the vocabulary. Only the coded bytes are shuffled.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("_text"))
-    counts = [(row.id, row.n) for row in id_counts(texts, path, end_id).collect()]
+    kind = id_kind(path)
+    ids = kept(token_ids(texts, path), "token-ids")
+    counts = [(row.id, row.n) for row in id_counts(ids, kind, end_id).collect()]
     size = max(tokenizer(path).get_vocab_size(with_added_tokens=True), end_id + 1)
     by_rank = ranked_ids(counts, size)
     rank_of = np.empty(size, "<u4")
     rank_of[by_rank] = np.arange(size, dtype="<u4")
     shared = spark.sparkContext.broadcast(rank_of)
-    end = np.array([end_id], "<u4").tobytes()
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         for rows in batches:
-            coded, sizes = [], []
-            for found in texts_to_ids(path, rows["_text"].to_pylist()):
-                own = ranks[np.frombuffer(found + end, "<u4")]
-                coded.append(encode_ranks(own))
-                sizes.append(len(own))
-            ids = rows["doc_id"]
-            shard = np.searchsorted(bounds, ids.fill_null(0).to_numpy()).astype(np.int32)
-            shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            ids, sizes = _flat(rows["ids"], kind)
+            ids = np.insert(ids, np.cumsum(sizes), kind.type(end_id))
+            sizes += 1
+            control, control_at, data, data_at = encode_many(ranks[ids], sizes)
+            at = rows["doc_id"]
+            shard = np.searchsorted(bounds, at.fill_null(0).to_numpy()).astype(np.int32)
+            shard[at.is_null().to_numpy(zero_copy_only=False)] = 0
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard),
-                    ids,
+                    at,
                     pa.array(sizes, pa.int64()),
-                    pa.array([c for c, _ in coded], pa.binary()),
-                    pa.array([d for _, d in coded], pa.binary()),
+                    _binary(control, control_at),
+                    _binary(data, data_at),
                 ],
                 ["shard", "doc_id", "n_tokens", "control", "data"],
             )
@@ -211,15 +326,15 @@ def write_tokens(
 
     total = sum(n for _, n in counts)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // IDS_PER_SHARD)
-    bounds = np.array(_bounds(texts, shards), np.int64)
-    coded = texts.mapInArrow(code, CODED)
+    bounds = np.array(_bounds(ids, shards), np.int64)
+    coded = ids.mapInArrow(tidy(code), CODED)
     in_order = coded.repartitionById(shards, F.col("shard")).sortWithinPartitions(
         "doc_id", "n_tokens", "control", "data"
     )
-    return kept(in_order.mapInArrow(placed, FILE), "tokens"), by_rank
+    return kept(in_order.mapInArrow(tidy(placed), FILE), "tokens"), by_rank
 
 
-def _bounds(texts: DataFrame, shards: int) -> list[int]:
+def _bounds(ids: DataFrame, shards: int) -> list[int]:
     """Last ids of all shards but the last, from a sketch of the id column alone.
 
     They decide where files are cut, not what is in them.
@@ -227,7 +342,7 @@ def _bounds(texts: DataFrame, shards: int) -> list[int]:
     cuts = [k / shards for k in range(1, shards)]
     if not cuts:
         return []
-    (row,) = texts.select(F.percentile_approx("doc_id", cuts, 10 * shards).alias("at")).collect()
+    (row,) = ids.select(F.percentile_approx("doc_id", cuts, 10 * shards).alias("at")).collect()
     return sorted(set(row.at or []))
 
 
@@ -246,22 +361,26 @@ def read_tokens(files: DataFrame, by_rank: np.ndarray) -> DataFrame:
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            sums = [zlib.crc32(ids.tobytes()) for ids in _decoded_rows(rows, shared.value)]
+            sums = [zlib.crc32(ids) for ids in _decoded_rows(rows, shared.value)]
             yield pa.RecordBatch.from_arrays(
                 [rows["shard"], rows["doc_id"], rows["start_in_shard"], rows["n_tokens"], pa.array(sums, pa.int64())],
                 ["shard", "doc_id", "start_in_shard", "n_tokens", "ids_crc32"],
             )
 
     schema = "shard int, doc_id long, start_in_shard long, n_tokens long, ids_crc32 long"
-    rows = files.mapInArrow(checked, schema)
+    rows = files.mapInArrow(tidy(checked), schema)
     return rows.join(bases, F.col("shard") == F.col("_shard")).select(
         "doc_id", (F.col("_base") + F.col("start_in_shard")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
-def _decoded_rows(rows: pa.RecordBatch, by_rank: np.ndarray) -> Iterator[np.ndarray]:
-    for n, control, data in zip(rows["n_tokens"], rows["control"], rows["data"], strict=True):
-        yield by_rank[decode_ranks(control.as_py(), data.as_py(), n.as_py())]
+def _decoded_rows(rows: pa.RecordBatch, by_rank: np.ndarray) -> list[np.ndarray]:
+    """The ids of each document, as little-endian 32-bit integers."""
+    sizes = rows["n_tokens"].to_numpy()
+    if not len(sizes):
+        return []
+    ids = by_rank[decode_many(_flat(rows["control"])[0], _flat(rows["data"])[0], sizes)]
+    return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 def decoded(files: DataFrame, by_rank: np.ndarray) -> DataFrame:
@@ -275,7 +394,7 @@ def decoded(files: DataFrame, by_rank: np.ndarray) -> DataFrame:
                 [rows["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
 
-    return files.mapInArrow(listed, "doc_id long, ids array<int>")
+    return files.mapInArrow(tidy(listed), "doc_id long, ids array<int>")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
