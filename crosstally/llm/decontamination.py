@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import text_of
+from crosstally.llm.common import text_of, tidy
 
 #: Words are what lies between blanks once letters are in lower case and all ASCII characters but letters
 #: and digits are blanks.
@@ -129,7 +129,7 @@ def _scan(texts: DataFrame, items: list, width: int, id_type: str) -> DataFrame:
             )
 
     return texts.mapInArrow(
-        scan,
+        tidy(scan),
         f"_row {id_type}, n_words long, hits array<struct<start:long,end:long>>,"
         " spans array<struct<start:long,end:long>>, items array<string>",
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import text_of
+from crosstally.llm.common import text_of, tidy
 
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
@@ -159,7 +159,7 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
             [pa.array(np.append(seen, -1)), pa.array(np.append(n[seen], texts))], ["feature", "n"]
         )
 
-    counted = texts.select("_text").mapInArrow(count, "feature long, n long")
+    counted = texts.select("_text").mapInArrow(tidy(count), "feature long, n long")
     return counted.groupBy("feature").agg(F.sum("n").alias("n"))
 
 
@@ -183,7 +183,7 @@ def _sample(labelled: DataFrame, total: int, size: int) -> list:
             yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in types.items()], list(types))
 
     rows = chosen.select("_text", "_lang", F.xxhash64("_text", "_id", F.lit(1)).alias("_order"))
-    found = rows.mapInArrow(extract, "order long, lang string, at binary, times binary").collect()
+    found = rows.mapInArrow(tidy(extract), "order long, lang string, at binary, times binary").collect()
     return sorted(found, key=lambda row: (row.order, row.lang, row["at"]))
 
 
@@ -235,7 +235,7 @@ def predict(docs: DataFrame, model: Model, *, text_column: str = "text", row: st
 
     texts = docs.select(F.col(row).alias("_row"), F.col(text_column).alias("_text"))
     kind = texts.schema["_row"].dataType.simpleString()
-    return texts.mapInArrow(score, f"_row {kind}, lang_pred string, score double")
+    return texts.mapInArrow(tidy(score), f"_row {kind}, lang_pred string, score double")
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:

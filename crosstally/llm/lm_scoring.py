@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import WORDS, text_of
+from crosstally.llm.common import WORDS, text_of, tidy
 
 CLASSES, CLASS_SIZE = 32, 32
 VOCABULARY = CLASSES * CLASS_SIZE
@@ -227,7 +227,7 @@ def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameter
                     [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["place", "value"]
                 )
 
-        learned = texts.select("_text").mapInArrow(learn, "place int, value double")
+        learned = texts.select("_text").mapInArrow(tidy(learn), "place int, value double")
         rows = learned.groupBy("place").agg(F.sum("value").alias("value")).collect()  # a row a parameter
         if not rows:
             break
@@ -267,6 +267,6 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.mapInArrow(scored, f"doc_id {kind}, n_words long, log_likelihood double")
+    found = texts.mapInArrow(tidy(scored), f"doc_id {kind}, n_words long, log_likelihood double")
     mean = F.col("log_likelihood") / F.nullif("n_words", F.lit(0).cast("long"))
     return found.withColumn("mean_log_probability", mean)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import kept, text_of
+from crosstally.llm.common import kept, text_of, tidy
 from crosstally.llm.components import connected_components
 
 #: At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7.
@@ -127,7 +127,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
                 ["doc_id", "_key", "n_shingles", "digest", "signature", "sketch"],
             )
 
-    return docs.mapInArrow(sign, SIGNED.format(kind=docs.schema["doc_id"].dataType.simpleString()))
+    return docs.mapInArrow(tidy(sign), SIGNED.format(kind=docs.schema["doc_id"].dataType.simpleString()))
 
 
 def in_buckets(nodes: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def _alike(pairs: DataFrame, of_nodes: DataFrame, column: str, test) -> DataFram
 
     x = of_nodes.select(F.col("node").alias("a"), F.col(column).alias("_x"))
     y = of_nodes.select(F.col("node").alias("b"), F.col(column).alias("_y"))
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "_x", "_y").mapInArrow(keep, "a long, b long")
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "_x", "_y").mapInArrow(tidy(keep), "a long, b long")
 
 
 def _signatures_agree(x: pa.Buffer, y: pa.Buffer) -> bool:
@@ -191,7 +191,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) ->
             )
 
     # Rows that repeat an id and its text would give a node twice.
-    return texts.mapInArrow(extract, "node long, members binary").groupBy("node").agg(
+    return texts.mapInArrow(tidy(extract), "node long, members binary").groupBy("node").agg(
         F.any_value("members").alias("members")
     )
 
