@@ -4,9 +4,11 @@ A small network sees the two words before and the two words behind a position an
 it. The score of a document is the sum, over all its positions, of the log-probability that the network
 gives the word that is there: each word is predicted from both sides.
 
-The vocabulary is the most frequent words of all documents; other words share a fixed number of buckets.
-A word's probability is that of its class times that within its class, so that one position costs
-two small softmaxes.
+The network's vocabulary is the most frequent words of all documents; other words share a fixed number of
+buckets. A word's probability is that of its class times that within its class, so that one position
+costs two small softmaxes. For a word in a bucket it is times the word's share of the bucket's occurrences
+in all documents, from a table of the counts of all words; so each word has a probability of its own, and all
+of them sum to one.
 
 The network is trained on all documents, one eighth of the positions a round: each task starts from the
 shared parameters, learns from its documents, and the results are averaged by the number of positions
@@ -22,12 +24,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import WORDS, text_of, tidy
+from crosstally.llm.common import WORDS, kept, text_of, tidy
 
-CLASSES, CLASS_SIZE = 32, 32
+CLASSES, CLASS_SIZE = 64, 128
 VOCABULARY = CLASSES * CLASS_SIZE
 #: Ids from here on are buckets for words that are not among the most frequent.
 BUCKETS = 256
@@ -151,12 +153,34 @@ class Learner:
 # -- words --------------------------------------------------------------------------------------
 
 
+def word_counts(texts: DataFrame) -> DataFrame:
+    """How often each word occurs in the column ``_text``: word, n."""
+    words = texts.select(F.explode(F.regexp_extract_all("_text", F.lit(WORDS), F.lit(0))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _most_frequent(counts: DataFrame) -> list[Row]:
+    return counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+
+
 def frequent_words(texts: DataFrame) -> list[str]:
     """The most frequent words of the column ``_text``, ties by code point."""
-    words = texts.select(F.explode(F.regexp_extract_all("_text", F.lit(WORDS), F.lit(0))).alias("word"))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT)
-    return [row.word for row in top.collect()]
+    return [row.word for row in _most_frequent(word_counts(texts))]
+
+
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode()) % BUCKETS
+
+
+def bucket_sizes(counts: DataFrame, frequent: list[Row]) -> np.ndarray:
+    """How often the words of each bucket occur, those aside that are not in buckets."""
+    sizes = np.zeros(BUCKETS, np.int64)
+    buckets = counts.groupBy((F.crc32(F.encode("word", "utf-8")) % BUCKETS).alias("bucket"))
+    for row in buckets.agg(F.sum("n").alias("n")).collect():  # a row a bucket
+        sizes[row.bucket] = row.n
+    for row in frequent:
+        sizes[_bucket(row.word)] -= row.n
+    return sizes
 
 
 class Ids:
@@ -167,13 +191,20 @@ class Ids:
 
     def of(self, word: str) -> int:
         found = self.known.get(word)
-        return FREQUENT + zlib.crc32(word.encode()) % BUCKETS if found is None else found
+        return FREQUENT + _bucket(word) if found is None else found
 
     def laid_out(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, edges before and behind each, and where each text's words begin.
 
         There is one more beginning than texts; between two of them are the words and the edges behind.
         """
+        return self._laid_out(texts, False)[:2]
+
+    def with_rare(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """As ``laid_out``, and for each text its words that are in buckets, each with how often it occurs."""
+        return self._laid_out(texts, True)
+
+    def _laid_out(self, texts: pa.Array, rare_too: bool) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
         split = pc.split_pattern_regex(texts, "[\\x20\\x09-\\x0D]+")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
@@ -181,6 +212,14 @@ class Ids:
         number[[k for k, word in enumerate(words) if not word]] = -1  # before or behind white space
         ids = number[coded.indices.to_numpy(zero_copy_only=False)]
         text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        found = None
+        if rare_too:
+            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            rare, times = np.unique((text * len(words) + codes)[ids >= FREQUENT], return_counts=True)
+            of, rare = np.divmod(rare, max(len(words), 1))
+            ends = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
+            pairs = [coded.dictionary.take(pa.array(rare)), pa.array(times)]
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(pairs, ["word", "times"]))
         text, ids = text[ids >= 0], ids[ids >= 0]
         sizes = np.bincount(text, minlength=len(texts))
         edges = len(OFFSETS) // 2
@@ -188,7 +227,7 @@ class Ids:
         out = np.full(starts[-1], EDGE, np.int32)
         within = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         out[starts[text] + within] = ids
-        return out, starts
+        return out, starts, found
 
 
 def _context(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -246,27 +285,39 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     a row each. Further columns are not looked at. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("_text"))
-    words = docs.sparkSession.sparkContext.broadcast(frequent_words(texts))
+    counts = kept(word_counts(texts), "word-counts")
+    frequent = _most_frequent(counts)
+    words = docs.sparkSession.sparkContext.broadcast([row.word for row in frequent])
     model = docs.sparkSession.sparkContext.broadcast(train(texts, words, rounds))
+    # A word that is known has no bucket to share.
+    log_sizes = np.zeros(VOCABULARY)
+    log_sizes[FREQUENT:] = np.log(np.maximum(bucket_sizes(counts, frequent), 1))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Ids(words.value)
         for rows in batches:
             for part in _slices(rows):
-                ids, starts = known.laid_out(part["_text"])
+                ids, starts, rare = known.with_rare(part["_text"])
                 at = np.flatnonzero(ids != EDGE)
                 upto = np.zeros(len(at) + 1)
                 for start in range(0, len(at), CHUNK):
                     own = at[start : start + CHUNK]
-                    upto[1 + start : 1 + start + len(own)] = log_probabilities(model.value, _context(ids, own), ids[own])
+                    found = log_probabilities(model.value, _context(ids, own), ids[own]) - log_sizes[ids[own]]
+                    upto[1 + start : 1 + start + len(own)] = found
                 np.cumsum(upto, out=upto)
                 bounds = np.searchsorted(at, starts)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(np.diff(bounds)), pa.array(np.diff(upto[bounds]))],
-                    ["doc_id", "n_words", "log_likelihood"],
+                    [part["doc_id"], pa.array(np.diff(bounds)), pa.array(np.diff(upto[bounds])), rare],
+                    ["doc_id", "n_words", "of_ids", "rare"],
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.mapInArrow(tidy(scored), f"doc_id {kind}, n_words long, log_likelihood double")
+    columns = f"doc_id {kind}, n_words long, of_ids double, rare array<struct<word: string, times: long>>"
+    # A number for each row, which stays once it is written: ids may be NULL or repeated.
+    found = kept(texts.mapInArrow(tidy(scored), columns).withColumn("_row", F.monotonically_increasing_id()), "scores")
+    pairs = found.select("_row", F.inline("rare")).join(counts, "word")
+    shares = pairs.groupBy("_row").agg(F.sum(F.col("times") * F.ln("n")).alias("_shares"))
+    log_likelihood = F.col("of_ids") + F.coalesce("_shares", F.lit(0.0))
     mean = F.col("log_likelihood") / F.nullif("n_words", F.lit(0).cast("long"))
-    return found.withColumn("mean_log_probability", mean)
+    sums = found.join(shares, "_row", "left").select("doc_id", "n_words", log_likelihood.alias("log_likelihood"))
+    return sums.withColumn("mean_log_probability", mean)
