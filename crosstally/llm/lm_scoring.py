@@ -10,8 +10,8 @@ costs two small softmaxes. For a word in a bucket it is times the word's share o
 in all documents, from a table of the counts of all words; so each word has a probability of its own, and all
 of them sum to one.
 
-The network is trained on all documents, one eighth of the positions a round: each task starts from the
-shared parameters, learns from its documents, and the results are averaged by the number of positions
+The network is trained on all positions of all documents, each in one of the rounds: each task starts from
+the shared parameters, learns from its documents, and the results are averaged by the number of positions
 learned from. The average is a sum over Spark rows; what is broadcast has a fixed size.
 """
 
@@ -38,8 +38,7 @@ FREQUENT = VOCABULARY - BUCKETS
 EDGE = VOCABULARY
 OFFSETS = (-2, -1, 1, 2)
 EMBEDDING, HIDDEN = 8, 16
-#: One in so many positions is masked, and learned from, in a round; each round masks others.
-MASKED = 8
+#: A round masks, and learns from, one in so many positions of each text; each round masks others.
 ROUNDS = 2
 BATCH, RATE = 2048, 0.1
 #: Bytes of text that are looked at in one go, and positions that are scored in one go.
@@ -230,6 +229,12 @@ class Ids:
         return out, starts, found
 
 
+def masked(starts: np.ndarray, n: int, turn: int, rounds: int) -> np.ndarray:
+    """Which of ``n`` places a round learns from, by their place in their text, whatever it is batched with."""
+    within = np.arange(n) - np.repeat(np.concatenate([[0], starts]), np.diff(starts, prepend=0, append=n))
+    return within % rounds == turn
+
+
 def _context(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + offset] for offset in OFFSETS], axis=1)
 
@@ -245,7 +250,7 @@ def _slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameters:
-    """Parameters learned from the column ``_text`` of all rows."""
+    """Parameters learned from the column ``_text`` of all rows, from each position once."""
     spark = texts.sparkSession
     parameters = initial()
     for turn in range(rounds):
@@ -255,9 +260,8 @@ def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameter
             learner, known = Learner(shared.value), Ids(words.value)
             for rows in batches:
                 for part in _slices(rows):
-                    ids, _ = known.laid_out(part["_text"])
-                    at = np.flatnonzero(ids != EDGE)
-                    at = at[turn % MASKED :: MASKED]
+                    ids, starts = known.laid_out(part["_text"])
+                    at = np.flatnonzero((ids != EDGE) & masked(starts, len(ids), turn, rounds))
                     learner.learn(_context(ids, at), ids[at])
             if learner.positions:
                 values = flat(learner.p).astype(np.float64) * learner.positions
@@ -269,7 +273,7 @@ def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameter
         learned = texts.select("_text").mapInArrow(tidy(learn), "place int, value double")
         rows = learned.groupBy("place").agg(F.sum("value").alias("value")).collect()  # a row a parameter
         if not rows:
-            break
+            continue  # where every text is shorter than this turn's places
         total = np.zeros(len(rows))
         for row in rows:
             total[row.place] = row.value

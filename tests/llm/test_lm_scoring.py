@@ -139,3 +139,36 @@ def test_each_rare_word_has_its_own_probability(spark, monkeypatch):
     by_id = {r[0]: r[2] for r in got if r[1]}
     assert by_id[3] - by_id[2] == pytest.approx(np.log(2), rel=1e-3)
     assert by_id[None] == pytest.approx(by_id[3])
+
+
+def test_every_position_is_learned_from_once(spark, monkeypatch):
+    """Over the rounds, whatever a text's length and however rows fall into slices."""
+    texts = ["a", "a b", "", "a b c d e f g h " * 9, " a\tb c ", "b"]
+    frame = spark.createDataFrame([(t,) for t in texts], "_text string").coalesce(1)
+    known = ["a", "b", "c", "d", "e", "f", "g", "h"]
+    wanted = sorted(known.index(w) for t in texts for w in t.split())
+    for rounds in (1, 2, 3):
+        places = []
+        for turn in range(rounds):
+            ids, starts = lm.Ids(known).laid_out(pa.array(texts))
+            at = np.flatnonzero((ids != lm.EDGE) & lm.masked(starts, len(ids), turn, rounds))
+            alone = []
+            for t in texts:
+                own, begin = lm.Ids(known).laid_out(pa.array([t]))
+                alone += own[(own != lm.EDGE) & lm.masked(begin, len(own), turn, rounds)].tolist()
+            assert ids[at].tolist() == alone
+            places += at.tolist()
+        assert len(set(places)) == len(places) and sorted(ids[places].tolist()) == wanted
+
+
+def test_words_at_skipped_places_are_learned(spark):
+    """In a list of eight words a line, words that never stood at the first two places were no targets."""
+    line = " ".join(f"k{k}" for k in range(8))
+    frame = spark.createDataFrame([(" ".join([line] * 200),)] * 8, "_text string").coalesce(1)
+    words = lm.frequent_words(frame)
+    model = lm.train(frame, spark.sparkContext.broadcast(words))
+    ids, _ = lm.Ids(words).laid_out(pa.array([" ".join([line] * 20)]))
+    at = np.flatnonzero(ids != lm.EDGE)
+    found = lm.log_probabilities(model, lm._context(ids, at), ids[at])
+    by_word = [found[ids[at] == k].mean() for k in range(8)]
+    assert min(by_word) > np.log(0.05)
