@@ -3,7 +3,8 @@
 Texts are folded to lower-case letters with everything else as a blank; n-grams of one to three
 characters are hashed to a fixed number of features. Document frequencies are counted over all labelled
 texts. The regression is trained by follow-the-regularised-leader with an L1 and an L2 penalty on a
-bounded sample of them, and its scores are calibrated by a temperature on another part of the sample.
+sample of them that is bounded for each language, and its scores are calibrated by a temperature on
+another part of the sample. Rare languages are a larger part of the sample than of the labelled texts.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 #: Labelled documents, about, that the regression and the temperature are fitted on.
 SAMPLE = 4000
-#: One in so many of the sample is left to the temperature.
+#: Of a language with fewer in a sample of that size, so many documents, about, or all that there are.
+LEAST = 50
+#: One in so many of a language's sample is left to the temperature.
 CALIBRATE = 5
 UNDETERMINED = "und"
 
@@ -163,11 +166,28 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def _sample(labelled: DataFrame, total: int, size: int) -> list:
-    """Language and features of about ``size`` labelled texts, chosen by a hash of id and text."""
-    spaces = 1 << 20
-    share = min(spaces, -(-size * spaces // max(total, 1)))
-    chosen = labelled.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(spaces)) < share)
+def language_sizes(labelled: DataFrame) -> dict[str, int]:
+    """How many labelled texts with a letter each language has."""
+    counted = _with_letter(labelled).groupBy("_lang").agg(F.count(F.lit(1)).alias("n"))
+    return {row["_lang"]: row.n for row in counted.collect()}  # one row a language
+
+
+def _with_letter(labelled: DataFrame) -> DataFrame:
+    return labelled.where(F.col("_text").rlike(r"\p{L}"))
+
+
+def _sample(labelled: DataFrame, sizes: dict[str, int], size: int) -> list:
+    """Language and features of labelled texts, chosen by a hash of id and text.
+
+    Of each language about its part of ``size``, but not less than ``LEAST``: all where it has no more.
+    """
+    if not sizes:
+        return []
+    spaces, total = 1 << 40, sum(sizes.values())
+    wanted = {lang: max(-(-size * n // total), LEAST) for lang, n in sizes.items()}
+    shares = [x for lang, n in sizes.items() for x in (lang, min(spaces, -(-wanted[lang] * spaces // n)))]
+    share = F.try_element_at(F.create_map(*map(F.lit, shares)), F.col("_lang"))
+    chosen = _with_letter(labelled).where(F.pmod(F.xxhash64("_id", "_text"), F.lit(spaces)) < share)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -194,16 +214,17 @@ def train(labelled: DataFrame, *, sample: int = SAMPLE, epochs: int = 3) -> Mode
     idf = np.full(FEATURES, np.log(1 + total) + 1)
     idf[list(n)] = np.log((1 + total) / (1 + np.array(list(n.values()), float))) + 1
 
-    rows = _sample(labelled, total, sample)
+    sizes = language_sizes(labelled)
+    rows = _sample(labelled, sizes, sample)
     languages = sorted({row.lang for row in rows})
     label = {lang: k for k, lang in enumerate(languages)}
-    examples = []
+    learned, rest, seen = [], [], [0] * len(languages)
     for row in rows:
         at = np.frombuffer(row["at"], "<u2").astype(np.int64)
         values = weighted(at, np.frombuffer(row.times, "<u4"), idf).astype(np.float32)
-        examples.append((at, values, label[row.lang]))
-    learned = [e for k, e in enumerate(examples) if k % CALIBRATE or len(examples) < CALIBRATE]
-    rest = [e for k, e in enumerate(examples) if not k % CALIBRATE and len(examples) >= CALIBRATE]
+        k = label[row.lang]
+        seen[k] += 1
+        (learned if seen[k] % CALIBRATE else rest).append((at, values, k))
 
     ftrl = Ftrl(len(languages))
     for _ in range(epochs):

@@ -81,3 +81,18 @@ def test_temperature_is_that_of_least_loss():
     labels = (rng.random(4000)[:, None] > p.cumsum(axis=1)).sum(axis=1)
     assert language_id.calibrated(logits, labels) == pytest.approx(2.5, rel=0.15)
     assert language_id.calibrated(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def test_a_rare_language_is_learned_however_many_rows_the_others_have(spark):
+    """A uniform sample of 100 of these rows holds none, or hardly one, of the rare language."""
+    rng = np.random.default_rng(5)
+    make = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(12))
+    rows = [(k, make("abcdefg" if k % 2 else "hijklmn"), "aa" if k % 2 else "hh") for k in range(3000)]
+    rows += [(5000 + k, make("стувфхц"), "rare") for k in range(12)] + [(6000, make("αβγδεζη"), "once")]
+    labelled = spark.createDataFrame(rows, "_id long, _text string, _lang string")
+    assert language_id.language_sizes(labelled) == {"aa": 1500, "hh": 1500, "rare": 12, "once": 1}
+    model = language_id.train(labelled, sample=100)
+    assert model.languages == ["aa", "hh", "once", "rare"]
+    assert [model.predict(make("стувфхц"))[0] for _ in range(20)] == ["rare"] * 20
+    assert model.predict(make("abcdefg"))[0] == "aa" and model.predict(make("hijklmn"))[0] == "hh"
+    assert model.weights[:, model.languages.index("once")].any()
