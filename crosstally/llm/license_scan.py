@@ -158,10 +158,18 @@ def normalised(sentence: str) -> str:
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _runs() -> str:
+    """Matches runs of whole lines that are a known sentence, longer sentences before those they begin with."""
+    forms = sorted(map(normalised, SENTENCES.values()), key=lambda form: (-len(form), form))
+    known = "|".join(form.replace(" ", INNER) for form in forms)
+    return rf"(?<![^\n])[ .!?]*(?:{known})[ .!?]*(?![^\n])"
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
-    A sentence may run over several lines. One that is not known as a whole is looked up line by line.
+    A sentence may run over several lines. In one that is not known as a whole, runs of lines are looked up:
+    from each line on the longest that is known; after it, the search goes on behind it.
     """
     known = F.create_map(*(F.lit(x) for name, s in SENTENCES.items() for x in (normalised(s), name)))
 
@@ -170,7 +178,7 @@ def sentence_ids(text: Column) -> Column:
 
     def found(sentence: Column) -> Column:
         whole = look_up(sentence)
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.split(sentence, "\n"), look_up))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.regexp_extract_all(sentence, F.lit(_runs()), F.lit(0)), look_up))
 
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), BLANKS, " ")
     return F.array_compact(F.flatten(F.transform(F.split(plain, ENDS), found)))
@@ -218,7 +226,10 @@ def _quoted(text: str) -> str:
 
 
 def scan_sql() -> str:
-    """``op4`` in SQL: a row for each sentence and line, and a replacement for each rule."""
+    """``op4`` in SQL: a row for each sentence and line, and a replacement for each rule.
+
+    Runs of several lines within a sentence, which ``sentence_ids`` finds too, are not looked up here.
+    """
     known = ", ".join(f"({_quoted(normalised(s))}, '{name}')" for name, s in SENTENCES.items())
     steps = "".join(
         f", s{k + 1} AS (SELECT *, replace(l{k}, '{_written(rule)}', '|') AS l{k + 1} FROM s{k})"

@@ -90,3 +90,26 @@ def test_odd_rows(spark, odd, empty):
     assert license_scan.scan(empty).collect() == []
     long = "word " * 200_000 + ".\nLicensed under the Apache License, Version 2.0.\n" + "x" * 500_000
     assert scanned(spark, long) == [(["apache-notice"], ["Apache-2.0"])]
+
+
+def test_known_sentences_are_found_in_runs_of_lines(spark):
+    parts = ["mit-grant", "mit-condition", "mit-disclaimer", "mit-liability"]
+    short = MIT.replace("The MIT License (MIT)\n\n", "MIT License\n").replace("Somebody\n\n", "Somebody\n")
+    isc = "ISC License\nCopyright 2020 Somebody\n" + license_scan.SENTENCES["isc-grant"].replace(" ", "\n") + "."
+    header = license_scan.SENTENCES["apache-header"]
+    apache = "# Copyright 2020 Somebody\n# " + header.replace("Version 2.0 ", "Version 2.0\n# ") + ".\n"
+    got = scanned(
+        spark,
+        short,
+        isc,
+        apache,
+        "Copyright\nlicensed under\nCC BY 4.0\nmore text",
+        "Some text licensed under\nCC BY 4.0\nand more",
+        "Copyright\nMIT License\nMIT License\nlicensed under the\nMIT License\n...",
+    )
+    assert got[0] == (["mit-title-2", *parts], ["MIT"])
+    assert got[1] == (["isc-grant"], ["ISC"])
+    assert got[2] == (["apache-header"], ["Apache-2.0"])
+    assert got[3] == (["cc-by-notice"], ["CC-BY-4.0"])
+    assert got[4] == ([], [])
+    assert got[5] == (["mit-title-2", "mit-title-2", "mit-notice-2"], ["MIT"])
