@@ -15,10 +15,10 @@ from crosstally.llm.common import kept, ready, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents of undetermined language: those without text or without a letter."""
+    """Leaves out documents without text or without a letter, whatever languages could be learned."""
     model = language_id.fitted(ready(spark) and docs)
     row = docs.select(F.struct("*").alias("_row"), "text")
-    return language_id.predict(row, model).where(F.col("lang_pred") != language_id.UNDETERMINED).select("_row.*")
+    return language_id.predict(row, model).where("has_letter").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

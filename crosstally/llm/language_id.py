@@ -239,24 +239,26 @@ def train(labelled: DataFrame, *, sample: int = SAMPLE, epochs: int = 3) -> Mode
 
 
 def predict(docs: DataFrame, model: Model, *, text_column: str = "text", row: str = "_row") -> DataFrame:
-    """The column ``row`` with lang_pred and score of each text."""
+    """The column ``row`` with lang_pred, score and whether there is a letter, of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            found = [shared.value.predict(text.as_py()) for text in rows["_text"]]
+            texts = rows["_text"].to_pylist()
+            found = [shared.value.predict(text) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     rows["_row"],
                     pa.array([lang for lang, _ in found], pa.string()),
                     pa.array([p for _, p in found], pa.float64()),
+                    pa.array([any(map(str.isalpha, text or "")) for text in texts], pa.bool_()),
                 ],
-                ["_row", "lang_pred", "score"],
+                ["_row", "lang_pred", "score", "has_letter"],
             )
 
     texts = docs.select(F.col(row).alias("_row"), F.col(text_column).alias("_text"))
     kind = texts.schema["_row"].dataType.simpleString()
-    return texts.mapInArrow(tidy(score), f"_row {kind}, lang_pred string, score double")
+    return texts.mapInArrow(tidy(score), f"_row {kind}, lang_pred string, score double, has_letter boolean")
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:

@@ -85,3 +85,11 @@ def test_clean_documents_stay(spark):
     for _, function in corpus_pipeline.STAGES[:3]:
         docs = function(spark, docs, SF)
     assert docs.count() == 50
+
+
+def test_clean_documents_without_labels_stay(spark):
+    texts = [*(f"A clean text number {k}." for k in range(20)), None, "", "12 ?!"]
+    docs = spark.createDataFrame([(k, t, None, "a", 1, *FILLER) for k, t in enumerate(texts)], SCHEMA)
+    kept = stage(spark, "language ID", docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
