@@ -14,11 +14,14 @@ from crosstally.llm import (
     language_id,
     license_scan,
     lm_scoring,
+    merkle_manifest,
     minhash_dedup,
+    periodic_runs,
     source_mixing,
     token_counts,
     token_output,
     topk_search,
+    toxicity,
 )
 from crosstally.llm.common import table
 
@@ -91,6 +94,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.made_periodic(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = merkle_manifest.without_line_breaks()
+    found = merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered=tampered)
+    return merkle_manifest.digests(found)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_token_output": op2_token_output,
@@ -102,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_toxicity": op12_toxicity,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: The same in SQL, where SQL can express it.
@@ -110,4 +131,5 @@ SQL: dict[str, str] = {
     "op7_chat_format": chat_format.CHAT_SQL,
     "op8_topk_search": topk_search.TOP_K_SQL,
     "op9_source_mixing": source_mixing.MIX_SQL,
+    "op13_merkle_manifest": merkle_manifest.MANIFEST_SQL,
 }

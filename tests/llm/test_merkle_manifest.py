@@ -1,0 +1,116 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+import __spark_entry__ as driver
+from crosstally.llm import merkle_manifest
+from crosstally.llm.common import kept
+from llm_rows import FILLER, ODD, SCHEMA, SF, rows_of
+from llm_rows import empty, odd  # noqa: F401  (fixtures)
+
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row):
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def levels_of(nodes, arity):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([digest("".join(last[i : i + arity])) for i in range(0, len(last), arity)])
+    return levels
+
+
+def steps(levels, place, arity):
+    for level in levels[:-1]:
+        first = place - place % arity
+        yield "".join(level[first:place]), "".join(level[place + 1 : first + arity])
+        place //= arity
+
+
+def naive(rows, arity=3):
+    """doc_id, leaf, subroot, root, proof, folded root, verified of rows in the order of COLUMNS."""
+    sources = {}
+    for row in rows:
+        sources.setdefault(row[1], []).append(row)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for source in order:
+        sources[source].sort(key=lambda row: (row[0] is not None, row[0] or 0, leaf_of(row)))
+        trees[source] = levels_of([leaf_of(row) for row in sources[source]], arity)
+    top = levels_of([trees[source][-1][0] for source in order], arity)
+    root, out = top[-1][0] if order else None, []
+    for k, source in enumerate(order):
+        for place, row in enumerate(sources[source]):
+            path = [*steps(trees[source], place, arity), *steps(top, k, arity)]
+            text = row[4]
+            if text is not None and row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            node = leaf_of((*row[:4], text))
+            for left, right in path:
+                node = digest(left + node + right)
+            proof = digest("".join(left + right for left, right in path))
+            out.append((row[0], leaf_of(row), trees[source][-1][0], root, proof, node, node == root))
+    return sorted(out, key=repr)
+
+
+def found(docs, arity=3):
+    tampered = merkle_manifest.without_line_breaks()
+    rows = merkle_manifest.digests(merkle_manifest.manifest(docs, tampered=tampered, arity=arity))
+    return sorted(map(tuple, rows.collect()), key=repr)
+
+
+def test_query_equals_brute_force(spark):
+    got = sorted(map(tuple, driver.queries()["op13_merkle_manifest"](spark, SF).collect()), key=repr)
+    assert got == naive(rows_of(spark, SF, *COLUMNS))
+    assert {row[-1] for row in got} == {True, False}
+
+
+def test_odd_rows(odd):
+    rows = [(i, source, lang, n, text) for i, text, lang, source, n in ODD]
+    assert found(odd) == naive(rows)
+
+
+def test_empty(empty):
+    assert found(empty) == []
+
+
+@pytest.mark.parametrize("arity, n", [(2, 64), (2, 65), (2, 66), (2, 300), (3, 729), (3, 730), (2, 4097)])
+def test_trees_of_several_tiers(spark, arity, n):
+    """Two children to a node make blocks of 64, so that a few rows take several tiers."""
+    rng = random.Random(n)
+    # One source has all but a few rows, another has one, and many copies are alike.
+    rows = [(rng.randrange(n), f"t\n{k % 7}", None, rng.choice(["a"] * 9 + ["b", None]), k % 3) for k in range(n)]
+    rows += [(1, "one", "en", "c", 1)] + [rows[0]] * 5
+    docs = spark.createDataFrame([(*row, *FILLER) for row in rows], SCHEMA).repartition(5)
+    assert found(docs, arity) == naive([(i, s, lang, c, text) for i, text, lang, s, c in rows], arity)
+
+
+def test_many_sources(spark):
+    rows = [(k, "x\ny", None, f"s{k % 150}", k) for k in range(200)]
+    docs = spark.createDataFrame([(*row, *FILLER) for row in rows], SCHEMA)
+    assert found(docs, 2) == naive([(i, s, lang, c, text) for i, text, lang, s, c in rows], 2)
+
+
+def test_untampered_rows_are_verified(odd):
+    rows = merkle_manifest.manifest(odd).select("verified").collect()
+    assert len(rows) == len(ODD) and all(row.verified for row in rows)
+
+
+def test_equal_rows_fall_into_several_ranges(spark, conf):
+    """A third of all rows being one document doesn't make a range of a third of all rows."""
+    conf("spark.sql.shuffle.partitions", "30")
+    rows = kept(
+        spark.range(9000, numPartitions=6).selectExpr("'a' AS source", "IF(id % 3 = 0, 0L, id) AS doc_id"), "rows"
+    )
+    placed = merkle_manifest.placed(rows, ["source"], [rows.doc_id.asc()])
+    assert sorted(row.place for row in placed.collect()) == list(range(9000))
+    assert {row["size"] for row in placed.collect()} == {9000}

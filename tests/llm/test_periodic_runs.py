@@ -1,0 +1,120 @@
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as driver
+from crosstally.llm import periodic_runs
+from llm_rows import LONG, ODD, SF, rows_of
+from llm_rows import empty, odd  # noqa: F401  (fixtures)
+
+few = st.lists(st.integers(0, 2), max_size=40)
+repeating = st.builds(
+    lambda head, part, times, cut, tail: head + (part * times)[: len(part) * times - cut] + tail,
+    few, st.lists(st.integers(0, 3), min_size=1, max_size=9), st.integers(1, 6), st.integers(0, 5), few,
+)
+
+
+def naive_lyndon(words):
+    def lyndon(part):
+        return all(part < part[k:] for k in range(1, len(part)))
+
+    ends = [[e for e in range(i + 1, len(words) + 1) if lyndon(words[i:e])] for i in range(len(words))]
+    return [max(some) - i for i, some in enumerate(ends)]
+
+
+def naive_runs(words, shortest):
+    """Every stretch of places that equal the place q further on, where no smaller period fits too."""
+    found, numbers = [], np.unique(np.array(words), return_inverse=True)[1]
+    for q in range(1, len(words) // 2 + 1):
+        same = np.concatenate([[False], numbers[:-q] == numbers[q:], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for i, j in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            length = j - i + q
+            if length < max(shortest, 2 * q):
+                continue
+            if not any((numbers[i : i + length - k] == numbers[i + k : i + length]).all() for k in range(1, q)):
+                found.append((i, length, q))
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=12))
+def test_lyndon_lengths(words):
+    ranks = np.unique(np.array(words, int), return_inverse=True)[1].tolist()
+    assert periodic_runs.lyndon_lengths(ranks) == naive_lyndon(words)
+
+
+@settings(max_examples=400, deadline=None)
+@given(repeating)
+def test_all_runs(words):
+    got = periodic_runs.runs(np.array(words, np.int64))
+    assert sorted(got, key=lambda run: (run[0], run[2])) == naive_runs(words, 1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(repeating, max_size=4), st.sampled_from([2, 3, 7, 12]))
+def test_runs_of_several_texts(texts, shortest):
+    got = periodic_runs.runs_of_texts([[b"%d" % word for word in words] for words in texts], shortest)
+    assert got == [naive_runs(words, shortest) for words in texts]
+
+
+@pytest.mark.parametrize(
+    "words", [[0] * 50_000, list(range(500)) * 100, [0, 1] * 25_000, list(range(50_000)), [0] * 25_000 + [1] * 25_000]
+)
+def test_long_texts_take_time_in_proportion(words):
+    got = periodic_runs.runs_of_texts([[b"%d" % word for word in words]])[0]
+    assert all(length >= 12 for _, length, _ in got) and len(got) <= 2
+
+
+def planted(number, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = None if number is None else zlib.crc32(str(number).encode())
+    if words and h is not None and h % 10 == 0:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+def digests(number, words):
+    found = naive_runs(words, 12)
+    dropped = {i for start, length, q in found for i in range(start + q, start + length)}
+    longest = min(found, key=lambda run: (-run[1], run[0], run[2]), default=None)
+    return (
+        number,
+        len(found),
+        *(longest or (None,) * 3),
+        longest and 1000 * longest[1] // longest[2],
+        hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()).hexdigest(),
+        hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in dropped).encode()).hexdigest(),
+    )
+
+
+def in_columns(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_query_equals_brute_force(spark):
+    got = in_columns(driver.queries()["op11_periodic_runs"](spark, SF))
+    want = [digests(i, planted(i, text)) for i, text in rows_of(spark, SF, "doc_id", "text")]
+    assert got == sorted(want, key=repr) and sum(row[1] > 0 for row in got) > 20
+
+
+def test_odd_rows(spark, odd):
+    found = periodic_runs.periodic_runs(periodic_runs.made_periodic(odd))
+    plain = [row[:2] for row in ODD if row[1] != LONG]
+    got = [row for row in in_columns(periodic_runs.digests(found)) if row[0] != 7]
+    assert got == sorted((digests(i, planted(i, text)) for i, text in plain), key=repr)
+    long = found.where("doc_id = 7").first()
+    assert [tuple(run) for run in long.runs] == [(0, 30_000, 977)] and len(long.collapsed.split()) == 977
+
+
+def test_empty(spark, empty):
+    found = periodic_runs.periodic_runs(periodic_runs.made_periodic(empty))
+    assert periodic_runs.digests(found).collect() == []
