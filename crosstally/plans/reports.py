@@ -27,6 +27,7 @@ from crosstally.functions.predicates import (
 )
 from crosstally.operators.grouping import duplicates, members_of
 from crosstally.operators.presence import missing_in, present_in, present_in_skewed, shuffled_on
+from crosstally.operators.received import kept_with, merged
 from crosstally.operators.routing import of_active_tenants, route
 from crosstally.operators.totals import compare_totals, totals
 from crosstally.plans.registry import report
@@ -87,6 +88,10 @@ def _ucode_missing(tables: Tables, first_day: date | str, condition: Column) ->
         .select("tenant", "partner_detail_id", code.alias("ucode"), "dest_tenant")
         .distinct()
     )
+    columns = ("tenant", "partner_detail_id", "ucode", "dest_tenant")
+    if (codes := kept_with(tables, "received_codes")) is not None:
+        on = {"dest_tenant": "tenant", "ucode": "code"}
+        return missing_in(sent, merged(codes, "received_codes"), on).select(*columns)
     bought = tables["inward_invoice"].where(
         is_live() & ~F.col("purchase_type").isin(values.RETURN_INVOICES)
     )
@@ -97,9 +102,7 @@ def _ucode_missing(tables: Tables, first_day: date | str, condition: Column) ->
         {"tenant": "dest_tenant", "code": "ucode"},
     )
     received = _with_items(bought.select("tenant", "id"), asked, "invoice_id")
-    return missing_in(sent, received, {"dest_tenant": "tenant", "ucode": "code"}).select(
-        "tenant", "partner_detail_id", "ucode", "dest_tenant"
-    )
+    return missing_in(sent, received, {"dest_tenant": "tenant", "ucode": "code"}).select(*columns)
 
 
 @report
@@ -192,7 +195,10 @@ def dc_created_str_not_created(
     noted = with_items.select(
         "tenant", "partner_detail_id", "debit_note_number", "dest_tenant"
     ).distinct()
-    invoices = tables["inward_invoice"].where(invoice_not_cancelled())
+    if (notes := kept_with(tables, "received_notes")) is not None:
+        invoices = merged(notes, "received_notes")
+    else:
+        invoices = tables["inward_invoice"].where(invoice_not_cancelled())
     return missing_in(
         noted, invoices, {"dest_tenant": "tenant", "debit_note_number": "invoice_no"}
     ).select(
@@ -374,7 +380,8 @@ def compared_totals(
     """What was sent per tenant, partner, item, batch and note against what its destination received.
 
     The destination side has no date floor, so it would be the whole history. Before its items are
-    touched, its invoices are cut down to the numbers that were sent there; no other can match.
+    touched, its invoices are cut down to the numbers that were sent there; no other can match. Tables
+    that come with the totals received have them cut down alike, and no items are touched.
     """
     issues = _routed_issues(
         tables,
@@ -391,18 +398,25 @@ def compared_totals(
         sent_total,
         as_type,
     )
-    invoices = present_in_skewed(
-        tables["inward_invoice"].where(invoice_not_cancelled()).select("tenant", "id", "invoice_no"),
-        issues,
-        {"tenant": "dest_tenant", "invoice_no": "debit_note_number"},
-    )
-    received = totals(
-        _with_items(invoices, tables["inward_invoice_item"], "invoice_id"),
-        ["tenant", "code", "batch", "invoice_no"],
-        received_value,
-        received_total,
-        as_type,
-    )
+    numbers = {"tenant": "dest_tenant", "invoice_no": "debit_note_number"}
+    received_keys = ["tenant", "code", "batch", "invoice_no"]
+    if (kept := kept_with(tables, "received_totals")) is not None:
+        received = merged(present_in_skewed(kept, issues, numbers), "received_totals").select(
+            *received_keys, F.col(received_value).cast(as_type).alias(received_total)
+        )
+    else:
+        invoices = present_in_skewed(
+            tables["inward_invoice"].where(invoice_not_cancelled()).select("tenant", "id", "invoice_no"),
+            issues,
+            numbers,
+        )
+        received = totals(
+            _with_items(invoices, tables["inward_invoice_item"], "invoice_id"),
+            received_keys,
+            received_value,
+            received_total,
+            as_type,
+        )
     key = {
         "dest_tenant": "tenant",
         "ucode": "code",

@@ -6,6 +6,7 @@ DataFrames.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import suppress
 from functools import reduce
@@ -64,46 +65,103 @@ def tenant_query_each(
     tenants: Sequence[str] | None = None,
     chunk: int = 50,
 ) -> Iterator[tuple[DataFrame, dict[str, str]]]:
-    """Run ``text`` on the rows of each tenant alone, ``chunk`` tenants to a DataFrame.
+    """Run ``text`` on the rows of each tenant alone.
 
-    Gives each chunk's result, with ``tenant`` as a column and absent columns as NULL, and what
-    went wrong by tenant; a tenant whose query is refused is left out of the result.
-
-    Text that takes the rows of one table one by one gives the same rows for all tenants at once. It
-    is run once, in one scan, whatever ``chunk`` is. For other text the plan has a branch for every
-    tenant of the chunk, which is what keeps it from growing with their number. Partition the tables
-    by tenant then, so that a branch reads only its own files.
+    Gives results, with ``tenant`` as a column and absent columns as NULL, and what went wrong by tenant;
+    a tenant whose query is refused is left out of the result. Most text is one result with one scan of
+    each table, see :func:`tenant_query_at_once`. For other text the plan has a branch for every tenant,
+    and ``chunk`` tenants make a result, which keeps the plan from growing with their number. Partition
+    the tables by tenant then, so that a branch reads only its own files.
     """
-    frames = _frames(text, tables)
-    if takes_rows_one_by_one(spark, text, frames):
-        if tenants is None:
-            yield tenant_query(spark, text, tables), {}
-        elif tenants:
-            own = {name: rows.where(F.col("tenant").isin(list(tenants))) for name, rows in frames.items()}
-            yield spark.sql(text, **own), {}
+    at_once = tenant_query_at_once(spark, text, tables, tenants)
+    if at_once is not None:
+        yield at_once, {}
         return
     if tenants is None:
         tenants = _listed(tables)
     for start in range(0, len(tenants), chunk):
-        results, failures = [], {}
-        for tenant in tenants[start : start + chunk]:
-            own = {
-                name: rows if name in CENTRAL else rows.where(F.col("tenant") == tenant)
-                for name, rows in frames.items()
-            }
-            try:
-                result = spark.sql(text, **own)
-            except (AnalysisException, ParseException) as error:
-                failures[tenant] = str(error)
-                continue
-            results.append(result.withColumn("tenant", F.lit(tenant)))
-        if results:
-            yield (
-                reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results),
-                failures,
-            )
-        elif failures:
-            yield spark.createDataFrame([], "tenant string"), failures
+        yield from _in_branches(spark, text, tables, tenants[start : start + chunk])
+
+
+def tenant_query_at_once(
+    spark: SparkSession,
+    text: str,
+    tables: Mapping[str, DataFrame],
+    tenants: Sequence[str] | None = None,
+) -> DataFrame | None:
+    """What ``text`` gives on the rows of each tenant alone, in one plan; None if Spark can't plan it.
+
+    Text that takes the rows of one table one by one gives the same rows for all tenants at once. Any
+    other text is put behind the list of tenants as a lateral subquery whose tables are those rows that
+    are the tenant's. Spark turns this into joins and groups by tenant: aggregates, limits, joins and
+    unions of tenants' tables, each table scanned once. What it refuses to turn (a subquery in a
+    condition, a CTE over tenants' tables) is the text's property and not that of the rows.
+    """
+    frames = _frames(text, tables)
+    if takes_rows_one_by_one(spark, text, frames):
+        if tenants is None:
+            return tenant_query(spark, text, tables)
+        if not tenants:
+            return None
+        return spark.sql(text, **_of_tenants(frames, tenants))
+    names = _listed(tables) if tenants is None else list(tenants)
+    if not names or not set(frames) - set(CENTRAL):
+        return None
+    listed = spark.createDataFrame([(name,) for name in names], f"{_OF} string")
+    try:
+        found = spark.sql(_lateral(text), **_of_tenants(frames, names), **{_LISTED: listed})
+        found._jdf.queryExecution().optimizedPlan()
+    except (PySparkException, Py4JJavaError):
+        return None
+    return found.withColumn("tenant", F.col(_OF)).drop(_OF)
+
+
+#: Names that no text uses for its own: the list of tenants and its column.
+_LISTED, _OF = "_listed_tenants", "_tenant_of_the_query"
+_TABLE = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
+
+
+def _lateral(text: str) -> str:
+    """``text`` on the rows of each listed tenant; the tables in braces stay in braces."""
+
+    def own_rows(table: re.Match) -> str:
+        if table[1] in CENTRAL:
+            return table[0]
+        return f"(SELECT * FROM {table[0]} WHERE tenant = _of.{_OF})"
+
+    inner = _TABLE.sub(own_rows, text)
+    return f"SELECT _of.{_OF}, _found.* FROM {{{_LISTED}}} AS _of, LATERAL (\n{inner}\n) AS _found"
+
+
+def _of_tenants(frames: Mapping[str, DataFrame], tenants: Sequence[str]) -> dict[str, DataFrame]:
+    """The tenants' rows; the names are literals, so that only their partitions are read."""
+    return {
+        name: rows if name in CENTRAL else rows.where(F.col("tenant").isin(list(tenants)))
+        for name, rows in frames.items()
+    }
+
+
+def _in_branches(
+    spark: SparkSession, text: str, tables: Mapping[str, DataFrame], tenants: Sequence[str]
+) -> Iterator[tuple[DataFrame, dict[str, str]]]:
+    """The result of ``text`` on each tenant's rows, a branch of the plan for each."""
+    frames = _frames(text, tables)
+    results, failures = [], {}
+    for tenant in tenants:
+        own = {
+            name: rows if name in CENTRAL else rows.where(F.col("tenant") == tenant)
+            for name, rows in frames.items()
+        }
+        try:
+            result = spark.sql(text, **own)
+        except (AnalysisException, ParseException) as error:
+            failures[tenant] = str(error)
+            continue
+        results.append(result.withColumn("tenant", F.lit(tenant)))
+    if results:
+        yield reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results), failures
+    elif failures:
+        yield spark.createDataFrame([], "tenant string"), failures
 
 
 #: Nodes of a plan that look at one row at a time.
@@ -150,13 +208,16 @@ def write_tenant_query_each(
 ) -> dict[str, str]:
     """Write the result of :func:`tenant_query_each` as CSV and return what went wrong by tenant.
 
-    A chunk is one job, and a job that fails writes nothing; its tenants then run one by one, so a
-    tenant whose rows the query cannot process keeps no other from being written. Only errors of the
-    query are a tenant's: a path that can't be written or a cluster that is lost is raised.
+    What one plan gives for all tenants is one job. A job that fails writes nothing; its tenants are then
+    halved until each of those whose rows the query can't process stands alone, so that they keep no other
+    from being written. Only errors of the query are a tenant's: a path that can't be written or a cluster
+    that is lost is raised.
     """
     waiting = list(_listed(tables) if tenants is None else tenants)
-    chunks = [waiting[start : start + chunk] for start in range(0, len(waiting), chunk)]
     failures: dict[str, str] = {}
+    together = tenant_query_at_once(spark, text, tables, waiting) is not None
+    size = len(waiting) if together else chunk
+    chunks = [waiting[start : start + size] for start in range(0, len(waiting), size or 1)]
     while chunks:
         some = chunks.pop(0)
         for rows, refused in tenant_query_each(spark, text, tables, some, len(some)):
@@ -173,7 +234,8 @@ def write_tenant_query_each(
                 if len(accepted) == 1:
                     failures[accepted[0]] = str(error)
                 else:
-                    chunks[:0] = [[tenant] for tenant in accepted]
+                    half = len(accepted) // 2
+                    chunks[:0] = [accepted[:half], accepted[half:]]
     return failures
 
 

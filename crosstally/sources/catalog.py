@@ -13,6 +13,10 @@ from crosstally.operators.grouping import members_of
 from crosstally.sources import jdbc
 from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, conform, ddl
 
+#: Entities that are no tenant's own.
+CENTRAL_ENTITIES = tuple(entity for entity in ENTITIES if entity not in DOCUMENT_KEYS)
+
+
 class Catalog(Mapping[str, DataFrame]):
     """The entities by name, each read when it is first asked for."""
 
@@ -114,7 +118,7 @@ class Catalog(Mapping[str, DataFrame]):
         return cls(load)
 
 
-def _to_save(catalog: Mapping[str, DataFrame], entity: str) -> DataFrame:
+def to_save(catalog: Mapping[str, DataFrame], entity: str) -> DataFrame:
     """The rows of an entity; items of issues get the months of their issue.
 
     Reports with a first day skip items of earlier months by them. An item whose issue is not in the
@@ -145,15 +149,17 @@ def save_by_tenant(catalog: Mapping[str, DataFrame], root: str, mode: str = "ove
     floors skip row groups. Append items together with their issues.
     """
     for entity in catalog:
-        rows = _to_save(catalog, entity)
-        writer = rows
-        if entity in DOCUMENT_KEYS:
-            writer = rows.hint("rebalance", F.col("tenant"))
-            times = [c for c in ("created_on", values.CREATED_MONTH) if c in rows.columns]
-            writer = writer.sortWithinPartitions("tenant", *times).write.partitionBy("tenant")
-        else:
-            writer = rows.write
-        writer.mode(mode).parquet(f"{root}/{entity}")
+        write_by_tenant(to_save(catalog, entity), entity, f"{root}/{entity}", mode)
+
+
+def write_by_tenant(rows: DataFrame, name: str, path: str, mode: str = "error") -> None:
+    """Write rows as :func:`save_by_tenant` does; central tables aren't partitioned."""
+    if name in CENTRAL_ENTITIES:
+        rows.write.mode(mode).parquet(path)
+        return
+    times = [c for c in ("created_on", values.CREATED_MONTH) if c in rows.columns]
+    together = rows.hint("rebalance", F.col("tenant")).sortWithinPartitions("tenant", *times)
+    together.write.partitionBy("tenant").mode(mode).parquet(path)
 
 
 def save_by_document(
@@ -171,7 +177,7 @@ def save_by_document(
     document.
     """
     for entity in catalog:
-        rows, name = _to_save(catalog, entity), f"{database}.{entity}"
+        rows, name = to_save(catalog, entity), f"{database}.{entity}"
         keys = DOCUMENT_KEYS.get(entity)
         wanted = buckets
         if mode == "append" and rows.sparkSession.catalog.tableExists(name):

@@ -81,6 +81,30 @@ SCHEMAS: dict[str, dict[str, str]] = {
 
 ENTITIES = tuple(SCHEMAS)
 
+#: What destinations received, as :mod:`crosstally.sources.ledger` keeps it, by name.
+SUMMARIES: dict[str, dict[str, str]] = {
+    "received_codes": {
+        "tenant": "string",
+        "code": "string",
+        "bought_items": "bigint",
+    },
+    "received_notes": {
+        "tenant": "string",
+        "invoice_no": "string",
+        "invoices": "bigint",
+    },
+    "received_totals": {
+        "tenant": "string",
+        "code": "string",
+        "batch": "string",
+        "invoice_no": "string",
+        "quantity": "decimal(28,3)",
+        "net_amount": "decimal(28,2)",
+        "items": "bigint",
+        "bought_items": "bigint",
+    },
+}
+
 #: The document each row belongs to: rows of a header and of its items that are joined share it.
 DOCUMENT_KEYS = {
     "purchase_issue": ("tenant", "id"),
@@ -96,7 +120,11 @@ OPTIONAL = {"tray_id", "invoice_sequence_type"}
 
 
 def ddl(entity: str) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in SCHEMAS[entity].items())
+    return ", ".join(f"`{name}` {kind}" for name, kind in _schema(entity).items())
+
+
+def _schema(entity: str) -> dict[str, str]:
+    return SCHEMAS[entity] if entity in SCHEMAS else SUMMARIES[entity]
 
 
 def conform(rows: DataFrame, entity: str) -> DataFrame:
@@ -105,7 +133,7 @@ def conform(rows: DataFrame, entity: str) -> DataFrame:
     A column that already has a fitting type is passed on as it is, so that filters on it still
     reach the scan.
     """
-    schema = SCHEMAS[entity]
+    schema = _schema(entity)
     present = {field.name: field.dataType for field in rows.schema}
     absent = [name for name in schema if name not in present and name not in OPTIONAL]
     if absent:

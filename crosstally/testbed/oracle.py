@@ -192,6 +192,15 @@ SELECT pi.tenant, pi.id AS purchase_issue_id, pi.partner_detail_id, pm.dest_tena
 FROM purchase_issue pi JOIN partner_map pm ON pm.partner_detail_id = pi.partner_detail_id""",
     "tenant_query": TENANT_QUERY,
     "tenant_query_each": TENANT_QUERY,
+    "tenant_query_aggregate": f"""{ENTITIES}, inwarded AS (
+  SELECT ii.tenant, i.code, CAST(sum(i.quantity) AS BIGINT) AS quantity,
+         CAST(sum(i.net_amount) AS DECIMAL(18,2)) AS net_amount, count(DISTINCT ii.id) AS invoices
+  FROM inward_invoice ii JOIN inward_invoice_item i ON i.tenant = ii.tenant AND i.invoice_id = ii.id
+  WHERE ii.status = 'live' AND ii.tenant IN (SELECT tenant FROM active)
+  GROUP BY ii.tenant, i.code
+)
+SELECT * FROM inwarded
+QUALIFY row_number() OVER (PARTITION BY tenant ORDER BY quantity DESC, code) <= 5""",
     "ucode_missing_dc_not_generated": _ucode_missing(
         "(pi.debit_note_number IS NULL OR pi.debit_note_number = '')"
     ),
