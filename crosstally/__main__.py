@@ -27,10 +27,12 @@ from crosstally import (
     in_report_order,
     run_report,
     tenant_query,
-    write_report,
+    write_counted,
     write_tenant_query_each,
 )
+from crosstally.operators import routing
 from crosstally.session import apply_settings
+from crosstally.sources.catalog import quarantine
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -57,6 +59,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         command.add_argument("--format", choices=["parquet", "csv", "tables"], default="parquet")
         command.add_argument("--out", required=True, help="folder to write the CSV files to")
         command.add_argument("--append", action="store_true", help="add to what is there")
+        command.add_argument("--run", help="name of what is appended; repeated, it adds nothing")
+        command.add_argument("--quarantine", help="folder for malformed rows of CSV tables, which then are no error")
     return parser.parse_args(arguments)
 
 
@@ -68,8 +72,15 @@ def main(arguments: list[str] | None = None) -> None:
         "csv": Catalog.from_csv,
         "tables": Catalog.from_tables,
     }[args.format]
-    tables = load(spark, args.tables)
-    mode = "append" if args.append else "overwrite"
+    if args.quarantine:
+        if args.format != "csv":
+            sys.exit("only CSV tables have malformed rows")
+        for entity, count in sorted(quarantine(spark, args.tables, args.quarantine).items()):
+            print(f"{entity}: {count} malformed rows", file=sys.stderr)
+        tables = Catalog.from_csv(spark, args.tables, malformed="apart")
+    else:
+        tables = load(spark, args.tables)
+    mode = "append" if args.append or args.run else "overwrite"
 
     if args.command == "report":
         named = ("since", "excluded_tenants", "tolerance", "blank_rule")
@@ -78,13 +89,22 @@ def main(arguments: list[str] | None = None) -> None:
         if unknown := [name for name in given if name not in known]:
             sys.exit(f"{args.name} has no parameter {', '.join(unknown)}")
         rows = run_report(args.name, tables, **given)
-        write_report(in_report_order(args.name, rows), args.out, mode)
+        names = [row.tenant for row in routing.listed_tenants(tables["tenant_registry"]).collect()]
+        counted = names if "tenant" in rows.columns else []
+        written = write_counted(in_report_order(args.name, rows), args.out, mode, run=args.run, counted=counted)
+        print(f"{written.rows} rows written to {written.path}")
+        for name, count in written.counts.items():
+            if count:
+                print(f"{name}: {count}")
         return
 
     text = Path(args.file).read_text()
     if args.at_once:
-        write_report(tenant_query(spark, text, tables), args.out, mode)
+        written = write_counted(tenant_query(spark, text, tables), args.out, mode, run=args.run)
+        print(f"{written.rows} rows written to {written.path}")
         return
+    if args.run:
+        sys.exit("a query on each tenant is written in several steps, which have no run in common")
     failures = write_tenant_query_each(spark, text, tables, args.out, mode)
     for tenant, reason in failures.items():
         print(f"{tenant}: {reason}", file=sys.stderr)

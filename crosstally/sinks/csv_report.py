@@ -1,11 +1,16 @@
-"""Reports as CSV: a folder of part files, each with a header line."""
+"""Reports as CSV: a folder of part files, each with a header line.
+
+What a named run appends is a folder ``run=<name>`` in it.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -16,6 +21,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from crosstally.sources.folders import exists, move, remove
+
 #: Quotes inside a value are doubled; NULL and the empty string are both written as nothing.
 FORMAT = {"header": True, "escape": '"', "nullValue": "", "emptyValue": ""}
 
@@ -23,12 +30,27 @@ FORMAT = {"header": True, "escape": '"', "nullValue": "", "emptyValue": ""}
 ROWS_PER_FILE = 1_000_000
 
 
+#: Reads the files of runs too, and no others: what is staged is hidden by its name.
+EVERYTHING = {"recursiveFileLookup": True}
+_RUN = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
+@dataclass
+class Written:
+    """What was written: ``counts`` has the rows of each value that was asked for, 0 being one of them."""
+
+    path: str
+    rows: int
+    counts: dict[str, int] = field(default_factory=dict)
+
+
 def write_report(
     rows: DataFrame,
     path: str,
     mode: str = "overwrite",
     columns: Sequence[str] | None = None,
     headers: Sequence[str] | None = None,
+    run: str | None = None,
 ) -> str:
     """Write ``rows`` under ``path`` and return it.
 
@@ -36,27 +58,63 @@ def write_report(
     them by position. Columns with a blank name are dropped. ``mode="append"`` adds to a report
     that is there, by column name; rows with a column it lacks are refused. An empty result gives a
     file with the header alone.
+
+    An append with the name of a ``run`` can be repeated: a run that was added before adds nothing, and
+    one that fails leaves nothing, since its files become part of the report by one rename. Two runs may
+    be written at once. Overwriting removes all runs with what else is there.
+    """
+    return write_counted(rows, path, mode, columns, headers, run).path
+
+
+def write_counted(
+    rows: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    columns: Sequence[str] | None = None,
+    headers: Sequence[str] | None = None,
+    run: str | None = None,
+    count_by: str = "tenant",
+    counted: Sequence[str] = (),
+) -> Written:
+    """:func:`write_report`, and how many rows it wrote, in all and for each value ``counted``.
+
+    The rows are counted as they are written, without another pass. ``count_by`` is the column that has
+    the values; rows of others are part of the sum only. A run that was there before writes 0 rows.
     """
+    if run is not None and (mode != "append" or not _RUN.fullmatch(run)):
+        raise ValueError("a run is appended, and its name has letters, digits, dots, dashes and underscores")
+    spark = rows.sparkSession
+    if run is not None and exists(spark, f"{path}/run={run}"):
+        return Written(path, 0, dict.fromkeys(counted, 0))
     rows = _drop_blank_names(rows)
+    seen = Observation()
+    each = [F.count_if(F.col(f"`{count_by}`") == value).alias(f"of_{k}") for k, value in enumerate(counted)]
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *each)
     if columns is not None:
         rows = _in_order(rows, columns)
     if headers is not None:
         rows = rows.toDF(*headers)
     if mode == "append":
-        existing = _columns_of(rows.sparkSession, path)
+        existing = _columns_of(spark, path)
         if existing:
             extra = [name for name in rows.columns if name not in existing]
             if extra:
                 raise ValueError(f"{path} has no column {', '.join(extra)}")
             rows = _in_order(rows, existing)
+    target = path if run is None else f"{path}/_staged-{run}"
+    if run is not None:
+        remove(spark, target)  # what a run of this name that failed has left
     (
         _as_text(rows)
         .write.mode(mode)
         .options(**FORMAT)
         .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .csv(path)
+        .csv(target)
     )
-    return path
+    if run is not None:
+        move(spark, target, f"{path}/run={run}")
+    found = seen.get
+    return Written(path, found["rows"], {value: found[f"of_{k}"] for k, value in enumerate(counted)})
 
 
 def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -66,7 +124,7 @@ def read_report(spark: SparkSession, path: str, schema: StructType | str) -> Dat
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    there = spark.read.options(**FORMAT).option("multiLine", True).csv(path).columns
+    there = spark.read.options(**FORMAT, **EVERYTHING).option("multiLine", True).csv(path).columns
     missing = [name for name in schema.names if name not in there]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -75,7 +133,7 @@ def read_report(spark: SparkSession, path: str, schema: StructType | str) -> Dat
     )
     rows = (
         spark.read.schema(as_written)
-        .options(**FORMAT)
+        .options(**FORMAT, **EVERYTHING)
         .options(multiLine=True, mode="FAILFAST", enforceSchema=False)
         .csv(path)
     )
@@ -101,7 +159,7 @@ def _in_order(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _columns_of(spark: SparkSession, path: str) -> list[str]:
     try:
-        return spark.read.options(**FORMAT).csv(path).columns
+        return spark.read.options(**FORMAT, **EVERYTHING).csv(path).columns
     except AnalysisException as error:
         # No report yet, or a folder in which none was written.
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from crosstally import values
+from crosstally.operators import routing
 from crosstally.operators.grouping import members_of
-from crosstally.sources import jdbc
-from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, conform, ddl
+from crosstally.sources import databases, jdbc
+from crosstally.sources.folders import listed
+from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, SCHEMAS, conform, ddl
 
 #: Entities that are no tenant's own.
 CENTRAL_ENTITIES = tuple(entity for entity in ENTITIES if entity not in DOCUMENT_KEYS)
@@ -62,21 +65,20 @@ class Catalog(Mapping[str, DataFrame]):
         return cls(load)
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, root: str) -> Catalog:
+    def from_csv(cls, spark: SparkSession, root: str, malformed: str = "fail") -> Catalog:
         """``root/<entity>`` with a header line; an empty field is NULL only where it is unquoted.
 
-        A value that is not of its column's type, or a header other than the schema's, is an error.
+        A value that is not of its column's type, or a header other than the schema's, is an error. With
+        ``malformed="apart"`` rows with such a value, or with too few or too many, are left out instead;
+        they are the rows of :func:`malformed_rows`. A header is checked all the same.
         """
+        if malformed not in ("fail", "apart"):
+            raise ValueError(f"malformed rows can fail or be set apart, not {malformed!r}")
 
         def load(entity: str) -> DataFrame:
-            return (
-                spark.read.schema(ddl(entity))
-                .option("header", True)
-                .option("enforceSchema", False)
-                .option("mode", "FAILFAST")
-                .option("escape", '"')
-                .csv(f"{root}/{entity}")
-            )
+            if malformed == "apart":
+                return _permissive(spark, root, entity).where(_is_malformed(entity, False)).drop(_MALFORMED)
+            return _csv_reader(spark, ddl(entity)).option("mode", "FAILFAST").csv(f"{root}/{entity}")
 
         return cls(load)
 
@@ -117,6 +119,96 @@ class Catalog(Mapping[str, DataFrame]):
 
         return cls(load)
 
+    @classmethod
+    def from_databases(
+        cls,
+        spark: SparkSession,
+        driver: str,
+        settings: Mapping[str, Mapping | str],
+        tenants: Sequence[str],
+        central: Mapping[str, str],
+        partner_map: DataFrame,
+        of_entity: Mapping[str, Mapping] | None = None,
+        **options,
+    ) -> Catalog:
+        """As :meth:`from_jdbc`, with one scan for a table of all tenants, whatever their number.
+
+        ``driver`` is a DB-API module; see :mod:`crosstally.sources.databases` for ``settings`` and options.
+        """
+
+        def load(entity: str) -> DataFrame:
+            own = {**options, **(of_entity or {}).get(entity, {})}
+            read = partial(databases.read_databases, spark, driver, settings)
+            if entity == "partner_map":
+                return partner_map
+            if entity == "tenant_registry":
+                kinds = [
+                    read([central["registry"]], kind, "tenant string, id bigint, is_setup int", constant=None, **own)
+                    for kind in ("warehouse", "arsenal")
+                ]
+                return routing.tenant_registry(*kinds)
+            if entity == "debitnote":
+                return read([central["notes"]], entity, ddl(entity), constant=None, **own)
+            return read(tenants, entity, ddl(entity), **own)
+
+        return cls(load)
+
+
+_MALFORMED = "_malformed"
+
+
+def _csv_reader(spark: SparkSession, schema: str) -> DataFrameReader:
+    options = {"header": True, "enforceSchema": False, "escape": '"'}
+    return spark.read.schema(schema).options(**options)
+
+
+def _permissive(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """All rows of an entity's files, malformed ones with their text in a column of its own."""
+    reader = _csv_reader(spark, f"{ddl(entity)}, {_MALFORMED} string").option("columnPruning", False)
+    return reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=_MALFORMED).csv(f"{root}/{entity}")
+
+
+def _is_malformed(entity: str, malformed: bool) -> Column:
+    """Whether a row is ``malformed``.
+
+    Spark converts the columns that a query needs and no others. The hash needs all of them, so that
+    every query finds the same rows; its remainder is never negative, which Spark doesn't work out.
+    """
+    text, number = F.col(_MALFORMED), F.pmod(F.xxhash64(*SCHEMAS[entity]), F.lit(2))
+    return F.when(text.isNotNull() if malformed else text.isNull(), number) >= 0
+
+
+def malformed_rows(
+    spark: SparkSession, root: str, entities: Sequence[str] | None = None
+) -> DataFrame:
+    """entity, file, text and parsed of each malformed row of the CSV files under ``root``.
+
+    ``text`` is the line as it is, ``parsed`` what could be read of it, as JSON. ``entities`` are by
+    default those that have a folder.
+    """
+    there = [entity for entity in ENTITIES if entity in listed(spark, root)] if entities is None else entities
+    found = [
+        _permissive(spark, root, entity)
+        .where(_is_malformed(entity, True))
+        .select(
+            F.lit(entity).alias("entity"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col(_MALFORMED).alias("text"),
+            F.to_json(F.struct(*SCHEMAS[entity])).alias("parsed"),
+        )
+        for entity in there
+    ]
+    if not found:
+        return spark.createDataFrame([], "entity string, file string, text string, parsed string")
+    return reduce(DataFrame.unionByName, found)
+
+
+def quarantine(spark: SparkSession, root: str, path: str) -> dict[str, int]:
+    """Write the malformed rows under ``path``, a folder for each entity, and return how many each has."""
+    malformed_rows(spark, root).write.mode("overwrite").partitionBy("entity").parquet(path)
+    written = spark.read.schema("file string, text string, parsed string, entity string").parquet(path)
+    return {row["entity"]: row["count"] for row in written.groupBy("entity").count().collect()}
+
 
 def to_save(catalog: Mapping[str, DataFrame], entity: str) -> DataFrame:
     """The rows of an entity; items of issues get the months of their issue.

@@ -297,8 +297,29 @@ WHERE NOT EXISTS (
   SELECT 1 FROM debitnote d
   WHERE d.tenant = ii.tenant AND d.return_order_id = ii.id
     AND d.note_type IN ('ICS_RETURN', 'ST_RETURN'))""",
+    "received_totals": f"""{ENTITIES}
+SELECT ii.tenant, i.code, i.batch, ii.invoice_no,
+       CAST(sum(i.quantity) AS BIGINT) AS quantity, CAST(sum(i.net_amount) AS DECIMAL(18,2)) AS net_amount,
+       count(*) AS items,
+       count(*) FILTER (WHERE ii.status = 'live'
+                        AND ii.purchase_type NOT IN ('StockTransferReturn', 'ICSReturn')) AS bought_items
+FROM inward_invoice ii JOIN inward_invoice_item i ON i.tenant = ii.tenant AND i.invoice_id = ii.id
+WHERE ii.status <> 'CANCELLED' AND NOT (ii.id % 2 = 0 AND ii.id % 7 = 3)
+GROUP BY ALL""",
     "csv_report_roundtrip": QUANTITY_DIFF,
     "recon_status": f"{STATUS} SELECT * FROM status",
+    "recon_summary_levels": f"""{STATUS}
+SELECT CASE WHEN grouping(tenant, dest_tenant, issue) = 7 THEN 'all'
+            WHEN grouping(tenant, dest_tenant, issue) = 3 THEN 'tenant'
+            WHEN grouping(tenant, dest_tenant, issue) = 1 THEN 'pair'
+            WHEN grouping(tenant, dest_tenant, issue) = 6 THEN 'issue'
+            ELSE 'tenant_issue' END AS level,
+       tenant, dest_tenant, issue, count(*) AS checked,
+       count(*) FILTER (WHERE validation_status = 'FAIL') AS failed,
+       round(100.0 * count(*) FILTER (WHERE validation_status = 'FAIL') / count(*), 2) AS failed_percent,
+       round(100.0 * count(*) / (SELECT count(*) FROM status), 2) AS checked_percent
+FROM status
+GROUP BY GROUPING SETS ((), (tenant), (tenant, dest_tenant), (issue), (tenant, issue))""",
     "recon_summary": f"""{STATUS}
 SELECT tenant, count(*) AS checked,
        count(*) FILTER (WHERE validation_status = 'FAIL') AS failed,

@@ -3,8 +3,9 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from crosstally import read_report, write_report
+from crosstally import read_report, write_counted, write_report
 
 SCHEMA = "id bigint, name string, amount decimal(10,2), at timestamp_ntz, ok boolean"
 ROWS = [
@@ -119,3 +120,68 @@ def test_only_an_absent_report_counts_as_none(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     write_report(rows, str(tmp_path / "empty"), "append")
     assert read_report(spark, str(tmp_path / "empty"), "a int").count() == 1
+
+
+# Appends that can be repeated, and rows counted as they are written -----------------------------------
+
+
+def test_a_run_is_appended_once(spark, rows, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(rows.limit(1), path)
+    first = write_counted(rows, path, "append", run="2025-09-01")
+    again = write_counted(rows, path, "append", run="2025-09-01")
+    assert (first.rows, again.rows) == (4, 0)
+    assert write_counted(rows, path, "append", run="2025-09-02").rows == 4
+    assert read_report(spark, path, rows.schema).count() == 9
+    write_report(rows, path, "append")
+    assert read_report(spark, path, rows.schema).count() == 13
+    write_report(rows, path)
+    assert read_report(spark, path, rows.schema).count() == 4
+
+
+def test_a_run_that_fails_before_its_commit_leaves_nothing(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    write_report(rows, path)
+    with monkeypatch.context() as broken:
+        broken.setattr("crosstally.sinks.csv_report.move", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write_report(rows, path, "append", run="b")
+    assert (tmp_path / "report" / "_staged-b").is_dir()
+    assert read_report(spark, path, rows.schema).count() == 4
+    assert write_counted(rows.where("id < 3"), path, "append", run="b").rows == 2
+    assert read_report(spark, path, rows.schema).count() == 6
+    assert not (tmp_path / "report" / "_staged-b").exists()
+
+
+def test_a_run_whose_rows_fail_leaves_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(rows, path, "append", run="a")
+    failing = rows.withColumn("name", F.when(F.col("id") == 4, F.raise_error(F.lit("no"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="no"):
+        write_report(failing, path, "append", run="b")
+    assert read_report(spark, path, rows.schema).count() == 4
+    assert write_counted(rows, path, "append", run="b").rows == 4
+
+
+def test_runs_are_appended_by_name_and_to_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(spark.createDataFrame([(1, "x")], "a int, b string"), path, "append", run="a")
+    write_report(spark.createDataFrame([("y", 2)], "b string, a int"), path, "append", run="b")
+    back = read_report(spark, path, "a int, b string")
+    assert sorted(map(tuple, back.collect())) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="no column c"):
+        write_report(spark.createDataFrame([(4, "z")], "a int, c string"), path, "append", run="c")
+    for mode, run in (("overwrite", "d"), ("append", "d/e"), ("append", "")):
+        with pytest.raises(ValueError, match="a run is appended"):
+            write_report(back, path, mode, run=run)
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=7).selectExpr("id", "IF(id % 10 = 0, NULL, concat('t', id % 3)) AS tenant")
+    found = write_counted(rows, str(tmp_path / "report"), columns=["id"], counted=["t0", "t1", "t9"])
+    by_tenant = {row.tenant: row["count"] for row in rows.groupBy("tenant").count().collect()}
+    assert found.rows == 1000 and found.counts == {"t0": by_tenant["t0"], "t1": by_tenant["t1"], "t9": 0}
+    none = write_counted(rows.where("id < 0"), str(tmp_path / "none"), counted=["t0"])
+    assert (none.rows, none.counts) == (0, {"t0": 0})
+    nothing = write_counted(spark.createDataFrame([], "tenant string"), str(tmp_path / "nothing"), counted=["t0"])
+    assert (nothing.rows, nothing.counts) == (0, {"t0": 0})

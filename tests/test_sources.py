@@ -9,7 +9,7 @@ from crosstally import Catalog, run_report
 from crosstally.operators import routing
 from crosstally.session import shared_folder
 from crosstally.sources import jdbc
-from crosstally.sources.catalog import save_by_document, save_by_tenant
+from crosstally.sources.catalog import malformed_rows, quarantine, save_by_document, save_by_tenant
 from crosstally.sources.schemas import DOCUMENT_KEYS, ENTITIES, OPTIONAL, SCHEMAS, conform
 
 SENT = {
@@ -284,3 +284,55 @@ def test_values_survive_parquet(spark, tables, tmp_path):
     back = Catalog.from_parquet(spark, str(tmp_path))
     for entity in ("purchase_issue_item", "inward_invoice"):
         assert back[entity].select(cat[entity].columns).collect() == cat[entity].collect()
+
+
+# Malformed rows of CSV files set apart ------------------------------------------------------------------
+
+
+def _items_with_bad_lines(tmp_path):
+    folder = tmp_path / "csv" / "inward_invoice_item"
+    folder.mkdir(parents=True)
+    header = "tenant,invoice_id,code,batch,quantity,net_amount"
+    good = [f"ar002,{k},00000{k % 9},B1,{k}.5,1.25" for k in range(300)]
+    (folder / "one.csv").write_text("\n".join([header, *good]) + "\n")
+    bad = ["ar002,7,000001,B1,many,1.25", "ar002,8,000001,B1", "ar002,9,000001,B1,1,2,3", 'th001,"x, y",000001,B1,1,2']
+    (folder / "two.csv").write_text("\n".join([header, good[0], *bad, good[1]]) + "\n")
+    orders = tmp_path / "csv" / "pre_purchase_issue_order"
+    orders.mkdir()
+    (orders / "all.csv").write_text("tenant,id,vendor_type,partner_detail_id,status,created_on\nth001,1,PRIMARY,9,CREATED,2025-09-01 00:00:00\n")
+    return str(tmp_path / "csv"), bad
+
+
+def test_malformed_rows_are_set_apart(spark, tmp_path):
+    root, bad = _items_with_bad_lines(tmp_path)
+    items = Catalog.from_csv(spark, root, malformed="apart")["inward_invoice_item"]
+    assert items.count() == 302 and "_malformed" not in items.columns
+    assert items.where("invoice_id IS NULL OR net_amount IS NULL").count() == 0
+    assert items.select("tenant").where("tenant = 'th001'").count() == 0
+    found = malformed_rows(spark, root).collect()
+    assert sorted(row.text for row in found) == sorted(bad)
+    assert {row.file.rsplit("/")[-1] for row in found} == {"two.csv"}
+    (first,) = (row for row in found if "many" in row.text)
+    assert '"invoice_id":7' in first.parsed and "quantity" not in first.parsed
+
+    path = str(tmp_path / "quarantine")
+    for _ in range(2):
+        assert quarantine(spark, root, path) == {"inward_invoice_item": 4}
+    back = spark.read.parquet(f"{path}/entity=inward_invoice_item")
+    assert sorted(row.text for row in back.collect()) == sorted(bad)
+
+
+def test_malformed_rows_fail_by_default(spark, tmp_path):
+    root, _ = _items_with_bad_lines(tmp_path)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        Catalog.from_csv(spark, root)["inward_invoice_item"].collect()
+    assert Catalog.from_csv(spark, root)["pre_purchase_issue_order"].count() == 1
+    with pytest.raises(ValueError, match="set apart"):
+        Catalog.from_csv(spark, root, malformed="drop")
+
+
+def test_nothing_is_set_apart_of_good_files_or_none(spark, tmp_path):
+    root, _ = _items_with_bad_lines(tmp_path)
+    assert malformed_rows(spark, root, ["pre_purchase_issue_order"]).count() == 0
+    assert malformed_rows(spark, str(tmp_path / "absent")).count() == 0
+    assert quarantine(spark, str(tmp_path / "absent"), str(tmp_path / "q")) == {}
