@@ -138,9 +138,10 @@ def learned_text(segments: Column, template: Template = TEMPLATE) -> Column:
 
 
 def digests(chats: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """What the formatted chats hold, read back from them."""
+    """What the formatted chats hold, read back from them, and whether the machine accepts their turns."""
     read = chats.select(
         "conv_id",
+        "valid",
         read_turns(F.col("formatted"), template).alias("_read"),
         learned_text(F.col("segments"), template).alias("_learned"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
@@ -153,10 +154,12 @@ def digests(chats: DataFrame, template: Template = TEMPLATE) -> DataFrame:
         F.char_length("_learned").cast("long").alias("loss_chars"),
         F.sha2("_learned", 256).alias("loss_sha256"),
         "formatted_chars",
+        "valid",
     )
 
 
-#: ``op7`` in SQL: what is read back must be what was put in, and the length follows from the template.
+#: ``op7`` in SQL: what is read back must be what was put in, and the length follows from the template. The
+#: machine accepts what may begin with the system and goes on with questions and their answers.
 CHAT_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -164,13 +167,15 @@ WITH turns AS (
   SELECT CAST(-7 AS BIGINT), t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
 ), sized AS (
   SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '\', ''), '#', ''), '<', ''))
-         + 4 + length(role) + 2 + 9 AS chars
+         + 4 + length(role) + 2 + 9 AS chars,
+         CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE '-' END AS kind
   FROM turns
 )
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(chars) AS BIGINT) AS formatted_chars
+       CAST(sum(chars) AS BIGINT) AS formatted_chars,
+       regexp_full_match(string_agg(kind, '' ORDER BY turn, role, text), 's?(ua)+') AS valid
 FROM sized GROUP BY conv_id
 """

@@ -16,6 +16,16 @@ def chats(spark, rows):
     return chat_format.format_chats(frame)
 
 
+def accepted(roles):
+    """A system turn or none, then questions and answers in turn, at least one of each."""
+    roles = roles[1:] if roles[:1] == ["system"] else roles
+    return bool(roles) and roles == ["user", "assistant"] * (len(roles) // 2)
+
+
+def columns(row):
+    return (*tuple(row)[:5], row.valid)
+
+
 def expected(rows):
     """Digests of what the formatted chats must hold."""
     by_conv = {}
@@ -27,12 +37,12 @@ def expected(rows):
         turns.sort()
         learned = "".join(t for *_, r, t in turns if r == "assistant")
         whole = "".join(f"{r}\n{t}\n" for *_, r, t in turns)
-        out.append((conv, len(turns), sha(whole), len(learned), sha(learned)))
+        out.append((conv, len(turns), sha(whole), len(learned), sha(learned), accepted([r for _, _, r, _ in turns])))
     return sorted(out, key=repr)
 
 
 def found(frame):
-    return sorted((tuple(r)[:5] for r in chat_format.digests(frame).collect()), key=repr)
+    return sorted((columns(r) for r in chat_format.digests(frame).collect()), key=repr)
 
 
 def test_query_equals_brute_force(spark):
@@ -40,7 +50,7 @@ def test_query_equals_brute_force(spark):
     rows = rows_of(spark, SF, "conv_id", "turn", "role", "text", table="conversations")
     rows += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
     got = driver.queries()["op7_chat_format"](spark, SF).collect()
-    assert sorted((tuple(r)[:5] for r in got), key=repr) == expected(rows)
+    assert sorted(map(columns, got), key=repr) == expected(rows)
 
 
 ROWS = [
@@ -104,3 +114,10 @@ def test_other_template(spark):
 
 def test_empty(spark):
     assert chat_format.digests(chats(spark, [])).collect() == []
+
+
+def test_the_machine_is_in_the_querys_plan(spark):
+    query = driver.queries()["op7_chat_format"](spark, SF)
+    plan = query._jdf.queryExecution().optimizedPlan().toString()
+    assert "refused" in plan and "answered" in plan
+    assert {row.valid for row in query.select("valid").distinct().collect()} <= {True, False}
