@@ -35,7 +35,7 @@ from crosstally.operators.grouping import members_of
 from crosstally.operators.presence import present_in, shuffled_on
 from crosstally.sources.catalog import Catalog, to_save, write_by_tenant
 from crosstally.sources.folders import listed, move, remove
-from crosstally.sources.schemas import ENTITIES, SUMMARIES, conform, ddl
+from crosstally.sources.schemas import ENTITIES, SCHEMAS, SUMMARIES, conform, ddl
 
 #: New statuses of invoices that earlier runs brought.
 STATUSES = "invoice_status"
@@ -72,7 +72,7 @@ class Ledger:
             return False
         staged = f"{self.root}/_staged-{run}"
         remove(self.spark, staged)  # what a run of this name that failed has left
-        new = {entity: conform(rows[entity], entity) for entity in rows}
+        new = {entity: _exactly(rows[entity], entity) for entity in rows}
         for entity in new:
             write_by_tenant(self._to_save(new, entity), entity, f"{staged}/{_folder(entity)}")
         changed = None
@@ -182,6 +182,12 @@ class Ledger:
         write_by_tenant(codes, "received_codes", f"{staged}/{_folder('received_codes')}")
 
 
+def _exactly(rows: DataFrame, entity: str) -> DataFrame:
+    """The columns of the entity and no others, of its types: all runs have the same files."""
+    kinds = SCHEMAS[entity]
+    return conform(rows, entity).select(*(F.col(c).cast(kind).alias(c) for c, kind in kinds.items()))
+
+
 def _folder(name: str) -> str:
     return f"entity={name}"
 
