@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import crosstally
 from crosstally.session import apply_settings, scratch
+from crosstally.sources.folders import remove
 
 #: White space between words wherever a contract counts or compares words.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -42,6 +43,8 @@ def ready(spark: SparkSession) -> SparkSession:
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2500",
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    # What a query has shuffled is of no use to another one.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 _sent_to: dict[str, str] = {}
 
@@ -55,11 +58,20 @@ def kept(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the cluster's shared folder and read again.
 
     This cuts the lineage: an executor that is lost afterwards costs no recomputation of what came
-    before. The folder is removed when the driver's JVM ends.
+    before. The folder is removed by :func:`release`, or when the driver's JVM ends.
     """
     path = scratch(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Remove tables that were :func:`kept` and that no plan yet to be run reads."""
+    for table in tables:
+        if table is not None and hasattr(table, "kept_at"):
+            remove(table.sparkSession, table.kept_at)
 
 
 def tidy(task: Callable) -> Callable:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import kept
+from crosstally.llm.common import kept, release
 from crosstally.operators.presence import shuffled_on
 
 
@@ -25,13 +25,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         after = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if after == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+            found = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
+            found.kept_at = edges.kept_at  # what it is read from
+            return found
         before = after
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, F.col("v") > F.col("u"))
-        edges = kept(_star(large, F.lit(True)), "edges")
+        last, edges = edges, kept(_star(large, F.lit(True)), "edges")
+        release(last)
 
 
 def _star(edges: DataFrame, moved: F.Column) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosstally.llm.common import kept, text_of, tidy
+from crosstally.llm.common import kept, release, text_of, tidy
 from crosstally.llm.components import connected_components
 
 #: At a similarity of 0.8 a pair shares no bucket with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7.
@@ -211,8 +211,8 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return kept(known.join(mixed, F.col("key").eqNullSafe(F.col("_key"))).drop("_key"), "mixed-buckets")
 
 
-def _to_compare(known: DataFrame, nodes: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to look at in this turn, and what is left of the buckets."""
+def _to_compare(known: DataFrame, nodes: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs to look at in this turn, what is left of the buckets, and the nodes that others are compared with."""
     # First the least node, then some of the largest component, then those outside it.
     chosen = [F.lit(True), F.col("component") == F.col("_largest"), F.col("component") != F.col("_largest")][min(turn, 2)]
     groups = [1, 4, PIVOTS][min(turn, 2)]
@@ -235,7 +235,7 @@ def _to_compare(known: DataFrame, nodes: DataFrame, turn: int, percent: int) ->
         .distinct()
     )
     done = (F.col("key") == F.col("_key")) & (F.col("node") == F.col("_node"))
-    return pairs, kept(known.join(pivots, done, "left_anti").select("key", "node"), "left-to-compare")
+    return pairs, kept(known.join(pivots, done, "left_anti").select("key", "node"), "left-to-compare"), pivots
 
 
 def near_duplicates(
@@ -260,14 +260,17 @@ def near_duplicates(
     texts = docs.select(
         F.col(id_column).alias("doc_id"), text_of(text_column).alias("_text"), F.lit(0).cast("long").alias("_key")
     )
-    return _resolved(texts, width, percent).drop("_key")
+    return _resolved(texts, width, percent)[0].drop("_key")
 
 
-def _resolved(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """:func:`near_duplicates` of the columns doc_id and _text, with the column _key carried along."""
-    rows = kept(signed(texts, width), "signed")
+def _resolved(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """:func:`near_duplicates` of the columns doc_id and _text, with the column _key carried along.
+
+    With it come the kept tables that it is read from. All others are removed as soon as they are used up.
+    """
+    signed_rows = kept(signed(texts, width), "signed")
     nodes = kept(
-        rows.where("n_shingles > 0")
+        signed_rows.where("n_shingles > 0")
         .groupBy("digest")
         .agg(
             F.min("doc_id").alias("least"),
@@ -278,25 +281,29 @@ def _resolved(texts: DataFrame, width: int, percent: int) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
+    rows = kept(signed_rows.drop("signature", "sketch"), "rows")
+    release(signed_rows)
     labels = _labels(texts, nodes, width, percent)
 
     # The least id of each component, and with it that of each node.
-    of_nodes = nodes.join(labels, "node", "left").select(
-        "digest", "least", F.coalesce("component", "node").alias("component")
+    of_nodes = kept(
+        nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component")),
+        "components",
     )
+    release(nodes, labels)
     least = of_nodes.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"))
     reached = of_nodes.join(least, F.col("component").eqNullSafe(F.col("_component"))).select(
         F.col("digest").alias("_digest"), "component_id"
     )
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (
-        rows.drop("signature", "sketch")
+    resolved = (
         # Rows without a set look for something that isn't there, each elsewhere.
-        .withColumn("_look", F.coalesce("digest", F.encode(F.concat(F.lit("-"), F.col("doc_id")), "utf-8")))
+        rows.withColumn("_look", F.coalesce("digest", F.encode(F.concat(F.lit("-"), F.col("doc_id")), "utf-8")))
         .join(reached, F.col("_look").eqNullSafe(F.col("_digest")), "left")
         .select("doc_id", "_key", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+    return resolved, [rows, of_nodes]
 
 
 def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -305,17 +312,27 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
     signatures = nodes.select("node", "signature")
     labels = nodes.select("node", F.col("node").alias("component")).limit(0)
     links, compared, sets, turn = None, None, None, 0
+    all_sets: list[DataFrame] = []
+    all_links: list[DataFrame] = []
     while not members.isEmpty():
-        pairs, members = _to_compare(_mixed(members, labels), nodes, turn, percent)
+        known = _mixed(members, labels)
+        release(members)
+        pairs, members, pivots = _to_compare(known, nodes, turn, percent)
         turn += 1
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = kept(pairs, "pairs")
+        release(known, pivots)
         if pairs.isEmpty():
+            release(pairs)
             continue
-        compared = pairs if compared is None else kept(compared.unionByName(pairs), "compared")
+        before, compared = compared, pairs if compared is None else kept(compared.unionByName(pairs), "compared")
+        release(before)
         alike = kept(_alike(pairs, signatures, "signature", _signatures_agree), "alike")
+        if pairs is not compared:
+            release(pairs)
         if alike.isEmpty():
+            release(alike)
             continue
         wanted = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         if sets is not None:
@@ -323,12 +340,16 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
         wanted = kept(wanted, "wanted")
         if not wanted.isEmpty():
             more = kept(sets_of(texts, nodes, wanted, width), "sets")
-            sets = more if sets is None else sets.unionByName(more)
+            sets, all_sets = more if sets is None else sets.unionByName(more), [*all_sets, more]
         found = kept(_alike(alike, sets, "members", _sets_agree(percent)), "links")
+        release(alike, wanted)
         if found.isEmpty():
+            release(found)
             continue
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links)
+        links, all_links = found if links is None else links.unionByName(found), [*all_links, found]
+        old, labels = labels, connected_components(links)
+        release(old)
+    release(members, compared, *all_sets, *all_links)
     return labels
 
 
@@ -345,7 +366,9 @@ def deduplicated(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
         text_of(text_column).alias("_text"),
         F.xxhash64(text_of(text_column)).alias("_key"),
     )
-    found = kept(_resolved(texts, options.get("width", 5), options.get("percent", 80)), "near-duplicates")
+    resolved, read = _resolved(texts, options.get("width", 5), options.get("percent", 80))
+    found = kept(resolved, "near-duplicates")
+    release(*read)
     first = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("component_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("_key").alias("_first")
     )
