@@ -20,7 +20,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -30,9 +29,12 @@ from pyspark.sql import functions as F
 
 from crosstally.llm.common import text_of, tidy
 
+#: A power of two.
 FEATURES = 1 << 17
 #: Beginnings of words that are terms, in letters.
 BEGINNINGS = (4, 5, 6, 7)
+#: Words that a worker remembers the features of.
+REMEMBERED = 1 << 18
 #: Labelled texts, about, that are learned from.
 SAMPLE = 6000
 #: Of a label with fewer in a sample of that size, so many texts, about, or all that there are.
@@ -47,20 +49,32 @@ _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = 1 << 40
 
 
-@lru_cache(1 << 17)
-def _terms(word: str) -> tuple[int, ...]:
-    """The features of a word: the word, and its beginnings where they are shorter than it."""
-    found = [zlib.crc32(word.encode()) % FEATURES]
-    for size in BEGINNINGS:
-        if len(word) > size:
-            found.append(zlib.crc32(f"{word[:size]}-".encode()) % FEATURES)
-    return tuple(found)
+class _Terms(dict):
+    """The features of words: the word, and its beginnings where they are shorter than it.
+
+    Words are remembered, up to a number of them, as most of a text's words are those of other texts.
+    """
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        crc, last = zlib.crc32, FEATURES - 1
+        whole, size = word.encode(), len(word)
+        if len(whole) == size:
+            found = (crc(whole) & last, *[crc(whole[:n], 1) & last for n in BEGINNINGS if n < size])
+        else:
+            found = (crc(whole) & last, *[crc(word[:n].encode(), 1) & last for n in BEGINNINGS if n < size])
+        self[word] = found
+        return found
+
+
+_terms = _Terms()
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The features of a text, ascending, and how often each occurs."""
     words = Counter(_WORD.findall(text.lower()))
-    terms = list(map(_terms, words))
+    terms = list(map(_terms.__getitem__, words))
     at = np.fromiter(chain.from_iterable(terms), np.int64)
     times = np.repeat(np.fromiter(words.values(), np.int64), np.fromiter(map(len, terms), np.int64))
     order = at.argsort(kind="stable")
