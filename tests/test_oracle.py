@@ -32,9 +32,9 @@ COUNTS = {
     "csv_report_roundtrip": (374, 3509),
     "recon_status": (966, 9183),
     "recon_summary": (23, 23),
-    "recon_summary_levels": (0, 0),
+    "recon_summary_levels": (297, 656),
     "tenant_query_aggregate": (115, 115),
-    "received_totals": (0, 0),
+    "received_totals": (3299, 30741),
 }
 
 
