@@ -26,8 +26,9 @@ WORD = re.compile(rb"[^ ]+")
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-#: Bytes of item texts in one automaton. More items are taken in blocks, each in a scan of its own.
-BLOCK_BYTES = 8_000_000
+#: Bytes of item texts in one automaton. More items are taken in blocks, each in a scan of its own. An
+#: automaton takes some 600 times the bytes of its items, since a window has a node for each character.
+BLOCK_BYTES = 500_000
 _serial = count()
 
 
