@@ -95,6 +95,30 @@ SENTENCES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
         " promote products derived from this software without specific prior written permission"
     ),
+    "lgpl-grant-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
+        " (at your option) any later version"
+    ),
+    "lgpl-grant-3": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+        " (at your option) any later version"
+    ),
+    "agpl-grant-3": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+        " (at your option) any later version"
+    ),
+    "gpl-grant-2-only": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License version 2 as published by the Free Software Foundation"
+    ),
+    "epl-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0",
     "mpl-notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"
     ),
@@ -131,6 +155,12 @@ RULES = [
     ("BSD-3-Clause", ["bsd-grant-1", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-2-Clause", ["bsd-grant-1", "bsd-source", "bsd-binary"]),
+    ("LGPL-2.1-or-later", ["lgpl-grant-2.1"]),
+    ("LGPL-3.0-or-later", ["lgpl-grant-3"]),
+    ("AGPL-3.0-or-later", ["agpl-grant-3"]),
+    ("GPL-2.0-only", ["gpl-grant-2-only"]),
+    ("EPL-2.0", ["epl-notice"]),
+    ("BSL-1.0", ["bsl-notice"]),
     ("MPL-2.0", ["mpl-notice"]),
     ("Unlicense", ["unlicense-notice"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-notice"]),
@@ -141,6 +171,39 @@ RULES = [
     ("CC0-1.0", ["cc0-notice"]),
 ]
 
+# Names in notices by licence. Licences without one are known by their text and their id only.
+NAMES = {
+    "MIT": "MIT License",
+    "ISC": "ISC License",
+    "Apache-2.0": "Apache License, Version 2.0",
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "GPL-2.0-only": "GNU General Public License, version 2",
+    "GPL-3.0-only": "GNU General Public License, version 3",
+    "LGPL-2.1-only": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0-only": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0-only": "GNU Affero General Public License, version 3",
+    "MPL-2.0": "Mozilla Public License, version 2.0",
+    "EPL-2.0": "Eclipse Public License, version 2.0",
+    "BSL-1.0": "Boost Software License, Version 1.0",
+}
+#: How notices begin, before "under the" and a name.
+VERBS = ("Licensed", "Released", "Distributed", "This work is licensed", "This software is licensed")
+
+
+def _with_notices() -> None:
+    """Each licence's notices, and the line with its id, as sentences and rules of their own."""
+    forms = {normalised(sentence) for sentence in SENTENCES.values()}
+    for licence in dict.fromkeys([*(name for name, _ in RULES), *NAMES]):
+        own = [f"SPDX-License-Identifier: {licence}"]
+        own += [f"{verb} under the {NAMES[licence]}" for verb in VERBS if licence in NAMES]
+        for number, sentence in enumerate(own):
+            if normalised(sentence) not in forms:
+                name = f"{licence.lower()}-{'said' if number else 'spdx'}{f'-{number}' if number else ''}"
+                SENTENCES[name] = sentence
+                RULES.append((licence, [name]))
+
+
 #: What is a blank in normalised text: all ASCII but letters, digits, new lines and what ends sentences.
 BLANKS = r"[\x00-\x09\x0B-\x20\x22-\x2D\x2F\x3A-\x3E\x40\x5B-\x60\x7B-\x7F]+"
 #: Ends of sentences: a mark before white space or the end, and an empty line.
@@ -155,6 +218,11 @@ def normalised(sentence: str) -> str:
     return re.sub(INNER, " ", re.sub(BLANKS, " ", lower)).strip(" ")
 
 
+_with_notices()
+
+#: Whose name must not be used differs from text to text; it is put as in the known sentence.
+HOLDER = r"(neither[ \n]+the[ \n]+name[ \n]+of)[ \n](?s:.){1,160}?[ \n](nor[ \n]+the[ \n]+names[ \n]+of)"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -181,6 +249,7 @@ def sentence_ids(text: Column) -> Column:
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.regexp_extract_all(sentence, F.lit(_runs()), F.lit(0)), look_up))
 
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), BLANKS, " ")
+    plain = F.regexp_replace(plain, HOLDER, "$1 the copyright holder $2")
     return F.array_compact(F.flatten(F.transform(F.split(plain, ENDS), found)))
 
 
@@ -226,10 +295,12 @@ def _quoted(text: str) -> str:
 
 
 def scan_sql() -> str:
-    """``op4`` in SQL: a row for each sentence and line, and a replacement for each rule.
+    """``op4`` in SQL: a row for each sentence and run of lines, and a replacement for each rule.
 
-    Runs of several lines within a sentence, which ``sentence_ids`` finds too, are not looked up here.
+    Runs of lines of an unknown sentence are taken one after the other: from a line on the longest that is
+    known, or none, and then from the line behind.
     """
+    most = max(len(normalised(s).split(" ")) for s in SENTENCES.values())
     known = ", ".join(f"({_quoted(normalised(s))}, '{name}')" for name, s in SENTENCES.items())
     steps = "".join(
         f", s{k + 1} AS (SELECT *, replace(l{k}, '{_written(rule)}', '|') AS l{k + 1} FROM s{k})"
@@ -239,27 +310,44 @@ def scan_sql() -> str:
     hits = {n: " OR ".join(f"l{k} <> l{k + 1}" for k, (m, _) in enumerate(RULES) if m == n) for n in names}
     named = ", ".join(f"CASE WHEN {hits[n]} THEN '{n}' END" for n in names)
     return rf"""
-WITH known(sentence, name) AS (VALUES {known}), parts AS (
-  SELECT doc_id, string_split_regex(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
-         '{BLANKS}', ' ', 'g'), '{ENDS}') AS p
-  FROM documents
+WITH RECURSIVE known(sentence, name) AS (VALUES {known}), numbered AS (
+  SELECT doc_id AS id, text, row_number() OVER () AS doc_id FROM documents
+), parts AS (
+  SELECT doc_id, string_split_regex(regexp_replace(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+         '{BLANKS}', ' ', 'g'), '{HOLDER}', '\1 the copyright holder \2', 'g'), '{ENDS}') AS p
+  FROM numbered
 ), sentences AS (
   SELECT doc_id, unnest(p) AS s, generate_subscripts(p, 1) AS k FROM parts
 ), whole AS (
   SELECT t.doc_id, t.s, t.k, w.name FROM sentences t
   LEFT JOIN known w ON w.sentence = trim(regexp_replace(t.s, '{INNER}', ' ', 'g'), ' ')
 ), cut AS (
-  SELECT doc_id, k, name, CASE WHEN name IS NULL THEN string_split(s, chr(10)) ELSE [''] END AS p FROM whole
+  SELECT doc_id, k, string_split(s, chr(10)) AS p FROM whole WHERE name IS NULL
+), first AS (
+  SELECT doc_id, k, p, unnest(range(1, len(p) + 1)) AS l FROM cut
 ), lines AS (
-  SELECT doc_id, k, name, unnest(p) AS line, generate_subscripts(p, 1) AS l FROM cut
+  SELECT doc_id, k, l, p, unnest(range(l, least(l + {most}, len(p) + 1))) AS m FROM first
+  WHERE regexp_full_match(p[l], '(?s).*[^ .!?].*')
+), known_runs AS (
+  SELECT t.doc_id, t.k, t.l, max(t.m) AS m, max_by(n.name, t.m) AS name FROM lines t
+  JOIN known n ON n.sentence = trim(regexp_replace(array_to_string(p[l:m], chr(10)), '{INNER}', ' ', 'g'), ' ')
+  WHERE regexp_full_match(p[m], '(?s).*[^ .!?].*')
+  GROUP BY t.doc_id, t.k, t.l
+), taken AS (
+  SELECT doc_id, k, l, m, name FROM known_runs r
+  WHERE l = (SELECT min(l) FROM known_runs f WHERE f.doc_id = r.doc_id AND f.k = r.k)
+  UNION ALL
+  SELECT r.doc_id, r.k, r.l, r.m, r.name FROM taken t JOIN known_runs r ON r.doc_id = t.doc_id AND r.k = t.k
+  WHERE r.l = (SELECT min(l) FROM known_runs f WHERE f.doc_id = t.doc_id AND f.k = t.k AND f.l > t.m)
 ), found AS (
-  SELECT t.doc_id, k, l, coalesce(t.name, n.name) AS name FROM lines t
-  LEFT JOIN known n ON n.sentence = trim(regexp_replace(t.line, '{INNER}', ' ', 'g'), ' ')
+  SELECT doc_id, k, 0 AS l, name FROM whole WHERE name IS NOT NULL
+  UNION ALL
+  SELECT doc_id, k, l, name FROM taken
 ), s0 AS (
-  SELECT d.doc_id, count(f.name) AS n, coalesce(string_agg(f.name, ',' ORDER BY k, l), '') AS sentences,
+  SELECT d.id, count(f.name) AS n, coalesce(string_agg(f.name, ',' ORDER BY k, l), '') AS sentences,
          coalesce(string_agg('<' || f.name || '>', '' ORDER BY k, l), '') AS l0
-  FROM documents d LEFT JOIN (SELECT * FROM found WHERE name IS NOT NULL) f ON f.doc_id = d.doc_id
-  GROUP BY d.doc_id
+  FROM numbered d LEFT JOIN found f ON f.doc_id = d.doc_id
+  GROUP BY d.doc_id, d.id
 ){steps}
-SELECT doc_id, CAST(n AS BIGINT) AS n_known, sentences, concat_ws(',', {named}) AS licences FROM s{len(RULES)}
+SELECT id AS doc_id, CAST(n AS BIGINT) AS n_known, sentences, concat_ws(',', {named}) AS licences FROM s{len(RULES)}
 """
