@@ -151,6 +151,18 @@ MUTATIONS = {
         "",
         934,
     ),
+    "cancelled invoices stay": (
+        "received_totals",
+        " AND NOT (ii.id % 2 = 0 AND ii.id % 7 = 3)",
+        "",
+        32954,
+    ),
+    "one limit for all tenants": (
+        "tenant_query_aggregate",
+        "PARTITION BY tenant ",
+        "",
+        5,
+    ),
     "every tenant": (
         "multi_cn_for_str_inward",
         "WHERE is_setup = 1",
