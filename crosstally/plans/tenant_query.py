@@ -11,6 +11,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import suppress
 from functools import reduce
 
+import pyarrow as pa
 from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +108,8 @@ def tenant_query_at_once(
     names = _listed(tables) if tenants is None else list(tenants)
     if not names or not set(frames) - set(CENTRAL):
         return None
-    listed = spark.createDataFrame([(name,) for name in names], f"{_OF} string")
+    # An Arrow table's size is known to Spark, which broadcasts it by that.
+    listed = spark.createDataFrame(pa.table({_OF: pa.array(names, pa.string())}))
     try:
         found = spark.sql(_lateral(text), **_of_tenants(frames, names), **{_LISTED: listed})
         found._jdf.queryExecution().optimizedPlan()
