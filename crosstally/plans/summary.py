@@ -85,10 +85,11 @@ def recon_summary_levels(
         is_level = [F.col(f"_{c}") == F.lit(0 if c in own else 1) for c in by]
         level = F.when(is_level[0] & is_level[1] & is_level[2], name).otherwise(level)
     named = grouped.withColumn("level", level)
-    # The one row of all items, for the others' shares.
-    total = named.where("level = 'all'").select(F.lit(True).alias("_any"), F.col("checked").alias("_total"))
+    # The one row of all items, for the others' shares; the key is true for every row.
+    any_row = F.col("checked") > 0
+    total = named.where("level = 'all'").select(any_row.alias("_any"), F.col("checked").alias("_total"))
     return (
-        named.withColumn("_any", F.lit(True))
+        named.withColumn("_any", any_row)
         .join(total, "_any")
         .select(
             "level",
