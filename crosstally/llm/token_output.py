@@ -15,10 +15,10 @@ each id of the vocabulary) lies beside them.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +31,18 @@ from tokenizers import Tokenizer
 from tokenizers.normalizers import Sequence
 from tokenizers.pre_tokenizers import ByteLevel
 
-from crosstally.llm.common import kept, sliced, text_of, tidy, tokenizer
+from crosstally.llm.common import kept, text_of, tidy, tokenizer
 
-#: Pieces that a worker remembers (some 30 bytes each), and bytes of text it looks at in one go. Results
+#: Parts of pieces that a worker remembers (some 30 bytes each), and bytes of text it looks at in one go. Results
 #: depend on neither.
-REMEMBERED = 500_000
-SLICE = 8_000_000
+REMEMBERED = 400_000
+SLICE = 4_000_000
 #: Ids in a shard on average, where that makes more shards than the session's shuffle partitions.
 IDS_PER_SHARD = 64_000_000
 
 #: Letters of Latin-1, and the marks behind them that neither an elision nor a special string begins with.
-LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?$&%*#()-]*)")
+WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+LETTERS = f"^(?P<letters>{WORD[1:-1]})(?P<marks>[.,;:!?$&%*#()-]*)$"
 
 #: Number of bytes of each of the four ids that a control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -125,12 +126,13 @@ class PieceIds:
     """Ids of the pieces between blanks and line ends, as little-endian integers of ``kind``.
 
     The word tokenizer drops white space before it looks at anything else, so that ids of a text are
-    those of its pieces, one after the other; special strings hold no white space. The library is given
-    each piece once. Pieces and ids are remembered in arrays, the most used of them when they get many.
+    those of its pieces, one after the other; special strings hold no white space.
 
     A piece of Latin letters, with marks or none behind them, needs no normalisation but lower case, and is
     cut before the marks. Its letters go to the library as a word that is cut already, without the
-    tokenizer's patterns, which take most of the time otherwise. All other pieces go to it as they are.
+    tokenizer's patterns, which take most of the time otherwise. All other pieces, and marks, go to it as
+    they are. The library is given each of these parts once. Parts and ids are remembered in arrays, the
+    most used of them when they get many.
     """
 
     def __init__(self, path: str):
@@ -139,66 +141,70 @@ class PieceIds:
         self.words.normalizer = Sequence([])
         self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.kind = id_kind(path)
-        self.pieces = pa.array([], pa.string())
+        self.parts = pa.array([], pa.string())
         self.ids = pa.LargeListArray.from_arrays(pa.array([0]), pa.array([], pa.from_numpy_dtype(self.kind)))
         self.used = np.zeros(0, np.float32)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin and the last ends."""
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = split.flatten().dictionary_encode()
-        place = self._places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = pc.list_value_length(self.ids).to_numpy(zero_copy_only=False)[place]
-        ids = self.ids.take(pa.array(place)).flatten().to_numpy()
-        upto = np.concatenate([[0], np.cumsum(sizes)])
         pieces = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        return ids, upto[pieces]
-
-    def _places(self, pieces: pa.Array) -> np.ndarray:
-        """Where the ids of each of ``pieces``, which differ, are found in ``self.ids``."""
-        if len(self.pieces) > REMEMBERED:
-            stay = pa.array(np.argsort(-self.used, kind="stable")[: REMEMBERED // 2])
-            self.pieces, self.ids, self.used = self.pieces.take(stay), self.ids.take(stay), self.used[stay] / 2
-        place = pc.index_in(pieces, self.pieces)
-        missing = pieces.filter(place.is_null())
+        coded = split.flatten().dictionary_encode()
+        del split
+        own = self._of_pieces(coded.dictionary)
+        sizes = np.diff(own.offsets.to_numpy()).astype(np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
+        upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[pieces]
+        return own.take(coded.indices).flatten().to_numpy(), upto
+
+    def _of_pieces(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of ``pieces``: those of its letters or of all of it, then those of the marks cut off."""
+        cut = pc.extract_regex(pieces, LETTERS)
+        found = cut.is_valid()
+        heads = pc.if_else(found, pc.utf8_lower(pc.struct_field(cut, "letters")), pieces)
+        tails = pc.if_else(found, pc.struct_field(cut, "marks"), "")
+        parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+        place = self._places(parts.dictionary)[parts.indices.to_numpy(zero_copy_only=False)]
+        own = self.ids.take(pa.array(place.reshape(2, -1).T.ravel()))
+        return pa.LargeListArray.from_arrays(own.offsets[::2], own.flatten())
+
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """Where the ids of each of ``parts``, which differ, are found in ``self.ids``."""
+        if len(self.parts) > REMEMBERED:
+            self.forget(REMEMBERED // 2)
+        place = pc.index_in(parts, self.parts)
+        missing = parts.filter(place.is_null())
+        is_word = pc.match_substring_regex(missing, WORD)
+        new = [missing.filter(is_word), missing.filter(pc.invert(is_word))]
         place = place.fill_null(-1).to_numpy().astype(np.int64)
-        place[place < 0] = len(self.pieces) + np.arange(len(missing))
-        found = self._looked_up(missing.to_pylist())
-        self.pieces = pa.concat_arrays([self.pieces, missing])
-        self.ids = pa.concat_arrays([self.ids, found])
+        order = np.argsort(~is_word.to_numpy(zero_copy_only=False), kind="stable")
+        place[np.flatnonzero(place < 0)[order]] = len(self.parts) + np.arange(len(missing))
+        self.ids = pa.concat_arrays([self.ids, *self._of_words(new[0]), *self._of_others(new[1])])
+        self.parts = pa.concat_arrays([self.parts, *new])
         self.used = np.concatenate([self.used, np.zeros(len(missing), np.float32)])
         self.used[place] += 1
         return place
 
-    def _bytes_at(self, place: pa.Array) -> list[bytes]:
-        own = self.ids.take(place)
-        data = own.flatten().to_numpy().tobytes()
-        ends = np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False)) * self.kind.itemsize
-        starts = [0, *ends.tolist()]
-        return [data[start:end] for start, end in zip(starts, starts[1:], strict=False)]
-
-    def _looked_up(self, pieces: list[str]) -> pa.Array:
-        cut = [match and (match[1].lower(), match[2]) for match in map(LETTERS.fullmatch, pieces)]
-        words = pa.array({found[0] for found in cut if found}, pa.string())
-        place = pc.index_in(words, self.pieces)  # met before, as a piece without marks
-        known = words.filter(place.is_valid()).to_pylist()
-        ids = dict(zip(known, self._bytes_at(place.drop_null()), strict=True))
-        for part in sliced(words.filter(place.is_null()).to_pylist(), 20_000):
+    def forget(self, stay: int) -> None:
+        """Remember no more than the ``stay`` most used parts."""
+        if len(self.parts) > stay:
+            most = pa.array(np.argsort(-self.used, kind="stable")[:stay])
+            self.parts, self.ids, self.used = self.parts.take(most), self.ids.take(most), self.used[most] / 2
+
+    def _of_words(self, words: pa.Array) -> Iterator[pa.Array]:
+        for start in range(0, len(words), 20_000):
+            part = words[start : start + 20_000].to_pylist()
             found = self.words.encode(part, is_pretokenized=True, add_special_tokens=False)
-            data = np.array(found.ids, self.kind).tobytes()
-            sizes = np.bincount(np.array(found.word_ids), minlength=len(part)) * self.kind.itemsize
-            ends = np.cumsum(sizes)
-            bounds = zip(part, (ends - sizes).tolist(), ends.tolist(), strict=True)
-            ids.update((word, data[start:end]) for word, start, end in bounds)
-        others = [piece for piece, found in zip(pieces, cut, strict=True) if not found]
-        others += {found[1] for found in cut if found}
-        for part in sliced(others, 20_000):
-            whole = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            ids.update((piece, np.array(e.ids, self.kind).tobytes()) for piece, e in zip(part, whole, strict=True))
-        every = [ids[f[0]] + ids[f[1]] if f else ids[piece] for piece, f in zip(pieces, cut, strict=True)]
-        ends = np.cumsum(np.fromiter(map(len, every), np.int64, len(every))) // self.kind.itemsize
-        values = pa.array(np.frombuffer(b"".join(every), self.kind))
-        return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), values)
+            yield self._lists(np.array(found.ids, self.kind), np.bincount(np.array(found.word_ids), minlength=len(part)))
+
+    def _of_others(self, pieces: pa.Array) -> Iterator[pa.Array]:
+        for start in range(0, len(pieces), 20_000):
+            part = pieces[start : start + 20_000].to_pylist()
+            found = [whole.ids for whole in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            yield self._lists(np.fromiter(chain.from_iterable(found), self.kind), np.array(list(map(len, found))))
+
+    def _lists(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids))
 
 
 _piece_ids: dict[str, PieceIds] = {}

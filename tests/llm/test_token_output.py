@@ -70,6 +70,36 @@ def test_forgetting_changes_nothing(monkeypatch, remembered):
         assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+class Given:
+    """Stands for a tokenizer and notes the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, []
+
+    def encode(self, words, **options):
+        self.words += words
+        return self.tokenizer.encode(words, **options)
+
+
+def test_a_word_is_looked_up_once_whatever_its_case_and_marks():
+    known = token_output.PieceIds(PATH)
+    known.words = Given(known.words)
+    for text in ["Vellumcraft, zorbins!", "(vellumcraft) VELLUMCRAFT zorbins Vellumcraft."]:
+        ids, _ = known.texts(pa.array([text]))
+        assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert sorted(known.words.words) == ["vellumcraft", "zorbins"]
+
+
+def test_the_most_used_parts_stay():
+    known = token_output.PieceIds(PATH)
+    known.texts(pa.array(["one two three four", "one two three", "one two"]))
+    known.texts(pa.array(["one two"]))
+    known.forget(2)
+    assert sorted(known.parts.to_pylist()) == ["one", "two"]
+    ids, _ = known.texts(pa.array(["four two"]))
+    assert ids.tolist() == LIBRARY.encode("four two", add_special_tokens=False).ids
+
+
 def test_ids_are_listed(spark, odd):
     files, by_rank = token_output.write_tokens(odd, PATH)
     lists = {r.doc_id: r.ids for r in token_output.decoded(files, by_rank).collect()}
