@@ -311,9 +311,8 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
     members = kept(in_buckets(nodes), "buckets")
     signatures = nodes.select("node", "signature")
     labels = nodes.select("node", F.col("node").alias("component")).limit(0)
-    links, compared, sets, turn = None, None, None, 0
+    compared, sets, turn, linked = None, None, 0, False
     all_sets: list[DataFrame] = []
-    all_links: list[DataFrame] = []
     while not members.isEmpty():
         known = _mixed(members, labels)
         release(members)
@@ -346,10 +345,12 @@ def _labels(texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
         if found.isEmpty():
             release(found)
             continue
-        links, all_links = found if links is None else links.unionByName(found), [*all_links, found]
-        old, labels = labels, connected_components(links)
-        release(old)
-    release(members, compared, *all_sets, *all_links)
+        # What is known of the components stands for the links that they were made of.
+        known_links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        old, labels = labels, connected_components(found.unionByName(known_links) if linked else found)
+        linked = True
+        release(old, found)
+    release(members, compared, *all_sets)
     return labels
 
 

@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 
 import __spark_entry__ as driver
+from crosstally.llm import components as component_steps
 from crosstally.llm import minhash_dedup
 from crosstally.llm.components import connected_components
 from llm_rows import FILLER, ODD, SCHEMA, SF, rows_of, sentence, words
@@ -128,3 +129,19 @@ def test_components(spark):
     wanted = components([x for x in links if None not in x], nodes)
     assert {r.node: r.component for r in connected_components(frame).collect()} == wanted
     assert connected_components(frame.limit(0)).collect() == []
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that all lead to a least node are components as they are; a chain has to become one."""
+    written = []
+    keep = component_steps.kept
+    monkeypatch.setattr(component_steps, "kept", lambda rows, name: written.append(name) or keep(rows, name))
+    links = spark.createDataFrame([(1, 2), (3, 1), (3, 1), (4, 1), (7, 6), (5, 5)], "a long, b long")
+    found = connected_components(links)
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 1), (3, 1), (4, 1), (6, 6), (7, 6)]
+    assert written == ["edges"]
+
+    chain = spark.createDataFrame([(k, k + 1) for k in range(9)] + [(20, 22), (21, 22)], "a long, b long")
+    found = connected_components(chain)
+    assert sorted(map(tuple, found.collect())) == [(k, 0) for k in range(10)] + [(k, 20) for k in (20, 21, 22)]
+    assert connected_components(links.limit(0)).collect() == []
