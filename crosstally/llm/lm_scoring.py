@@ -41,8 +41,10 @@ EMBEDDING, HIDDEN = 8, 16
 #: A round masks, and learns from, one in so many positions of each text; each round masks others.
 ROUNDS = 2
 BATCH, RATE = 2048, 0.1
-#: Bytes of text that are looked at in one go, and positions that are scored in one go.
-SLICE, CHUNK = 4_000_000, 1 << 15
+#: Bytes of text or of ids that are looked at in one go, and positions that are scored in one go.
+SLICE, ID_SLICE, CHUNK = 4_000_000, 1_200_000, 1 << 15
+#: e to the power of this and of its negative is far within what single precision holds.
+SAFE = 60
 
 SHAPES = {
     "embedding": (VOCABULARY + 1, EMBEDDING),
@@ -80,55 +82,129 @@ def shaped(values: np.ndarray) -> Parameters:
     return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of ``targets`` by class, and where in it each class is that has any."""
+    classes = (targets // CLASS_SIZE).astype(np.uint8)
+    ends = np.cumsum(np.bincount(classes, minlength=CLASSES)).tolist()
+    parts = [(k, slice(start, stop)) for k, (start, stop) in enumerate(zip([0, *ends], ends, strict=False)) if start < stop]
+    return np.argsort(classes, kind="stable"), parts
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    classes = targets // CLASS_SIZE
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if bounds[k] < bounds[k + 1]:
-            yield k, order[bounds[k] : bounds[k + 1]]
+def _inputs(p: Parameters, context: np.ndarray) -> np.ndarray:
+    return p["embedding"].take(context.ravel(), axis=0).reshape(len(context), len(OFFSETS) * EMBEDDING)
+
+
+def _joined(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights with the bias as a last row: what they give for a hidden layer with a column of ones."""
+    return np.concatenate([weights, bias[..., None, :]], axis=-2)
+
+
+def _hidden(p: Parameters, x: np.ndarray) -> np.ndarray:
+    """The hidden layer with a last column of ones, products with which add biases, or sum up their gradients."""
+    z = x @ p["hidden"]
+    z += p["hidden_bias"]
+    out = np.ones((len(x), HIDDEN + 1), z.dtype)
+    np.tanh(z, out=out[:, :HIDDEN])
+    return out
+
+
+def _bounded(joined: np.ndarray) -> bool:
+    """Whether no logit that these give for a hidden layer, of values from -1 to 1, is too large for an exponential."""
+    return bool(np.abs(joined).sum(axis=-2).max() < SAFE)
+
+
+def _exponentials(logits: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``logits`` becomes e to the power of them, less each row's greatest one unless they are bounded.
+
+    Gives what was taken off, and the sums of rows.
+    """
+    top = np.zeros(len(logits), logits.dtype) if bounded else logits.max(axis=1)
+    if not bounded:
+        logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return top, logits @ np.ones(logits.shape[1], logits.dtype)
+
+
+def _log_chances(logits: np.ndarray, chosen: np.ndarray, bounded: bool) -> np.ndarray:
+    """Log-probability of one column of each row; ``logits`` is used up."""
+    own = logits[np.arange(len(logits)), chosen]
+    top, total = _exponentials(logits, bounded)
+    return own - top - np.log(total)
+
+
+def _errors(logits: np.ndarray, chosen: np.ndarray, bounded: bool) -> np.ndarray:
+    """The gradient of the mean negative log-probability by ``logits``, in their place."""
+    _, total = _exponentials(logits, bounded)
+    total *= len(logits)
+    logits /= total[:, None]
+    logits[np.arange(len(logits)), chosen] -= 1 / len(logits)
+    return logits
 
 
 def log_probabilities(p: Parameters, context: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Log-probability of each target, given the ids around it (a row of ``context``)."""
-    x = p["embedding"][context].reshape(len(context), -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    found = _log_softmax(h @ p["class"] + p["class_bias"])[np.arange(len(targets)), targets // CLASS_SIZE]
-    for k, rows in _by_class(targets):
-        within = _log_softmax(h[rows] @ p["word"][k] + p["word_bias"][k])
-        found[rows] += within[np.arange(len(rows)), targets[rows] % CLASS_SIZE]
+    order, parts = _by_class(targets)
+    targets = targets[order]
+    h = _hidden(p, _inputs(p, context[order]))
+    joined = _joined(p["class"], p["class_bias"])
+    sums = _log_chances(h @ joined, targets // CLASS_SIZE, _bounded(joined))
+    joined = _joined(p["word"], p["word_bias"])
+    bounded = _bounded(joined)
+    for k, rows in parts:
+        sums[rows] += _log_chances(h[rows] @ joined[k], targets[rows] % CLASS_SIZE, bounded)
+    found = np.empty_like(sums)
+    found[order] = sums
     return found
 
 
-def gradients(p: Parameters, context: np.ndarray, targets: np.ndarray) -> Parameters:
-    """Of the mean negative log-probability."""
-    n = len(targets)
-    x = p["embedding"][context].reshape(n, -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    g = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
-
-    d = np.exp(_log_softmax(h @ p["class"] + p["class_bias"]))
-    d[np.arange(n), targets // CLASS_SIZE] -= 1
-    d /= n
-    g["class"], g["class_bias"] = h.T @ d, d.sum(axis=0)
-    dh = d @ p["class"].T
-    for k, rows in _by_class(targets):
-        d = np.exp(_log_softmax(h[rows] @ p["word"][k] + p["word_bias"][k]))
-        d[np.arange(len(rows)), targets[rows] % CLASS_SIZE] -= 1
-        d /= n
-        g["word"][k], g["word_bias"][k] = h[rows].T @ d, d.sum(axis=0)
-        dh[rows] += d @ p["word"][k].T
-    dz = dh * (1 - h * h)
+class Room:
+    """The large arrays of a step, which steps share, and the words' parameters joined with their biases."""
+
+    def __init__(self, p: Parameters):
+        self.joined = _joined(p["word"], p["word_bias"])
+        self.g_joined = np.zeros_like(self.joined)
+        self.g_embedding = np.empty_like(p["embedding"])
+        self.of_rows: dict[int, np.ndarray] = {}
+
+    def of(self, n: int, columns: int) -> np.ndarray:
+        if columns not in self.of_rows or len(self.of_rows[columns]) < n:
+            self.of_rows[columns] = np.empty((n, columns), self.joined.dtype)
+        return self.of_rows[columns][:n]
+
+
+def gradients(p: Parameters, context: np.ndarray, targets: np.ndarray, room: Room | None = None) -> Parameters:
+    """Of the mean negative log-probability. Rows are put in order of class, so that a class is a slice.
+
+    Some of the arrays are those of ``room``, which the next step fills again.
+    """
+    room = room or Room(p)
+    order, parts = _by_class(targets)
+    context, targets = context[order], targets[order]
+    x = _inputs(p, context)
+    h = _hidden(p, x)
+    g = {"word": room.g_joined[:, :HIDDEN], "word_bias": room.g_joined[:, HIDDEN], "embedding": room.g_embedding}
+
+    joined = _joined(p["class"], p["class_bias"])
+    d = _errors(h @ joined, targets // CLASS_SIZE, _bounded(joined))
+    both = h.T @ d
+    g["class"], g["class_bias"] = both[:HIDDEN], both[HIDDEN]
+    dh = d @ joined.T
+    d, of_words = room.of(len(targets), CLASS_SIZE), room.of(len(targets), HIDDEN + 1)
+    for k, rows in parts:
+        np.matmul(h[rows], room.joined[k], out=d[rows])
+    _errors(d, targets % CLASS_SIZE, _bounded(room.joined))
+    if len(parts) < CLASSES:
+        room.g_joined[:] = 0
+    for k, rows in parts:
+        np.matmul(h[rows].T, d[rows], out=room.g_joined[k])
+        np.matmul(d[rows], room.joined[k].T, out=of_words[rows])
+    dh += of_words
+    dz = dh[:, :HIDDEN] * (1 - h[:, :HIDDEN] ** 2)
     g["hidden"], g["hidden_bias"] = x.T @ dz, dz.sum(axis=0)
     dx = (dz @ p["hidden"].T).reshape(-1, EMBEDDING)
     at = context.ravel()
     for k in range(EMBEDDING):
-        g["embedding"][:, k] = np.bincount(at, weights=dx[:, k], minlength=VOCABULARY + 1)
+        room.g_embedding[:, k] = np.bincount(at, weights=dx[:, k], minlength=VOCABULARY + 1)
     return g
 
 
@@ -138,14 +214,23 @@ class Learner:
     def __init__(self, parameters: Parameters):
         self.p = {name: value.copy() for name, value in parameters.items()}
         self.seen = {name: np.full(shape, 1e-6, np.float32) for name, shape in SHAPES.items()}
+        self.room = Room(self.p)
+        # A step changes the joined ones by these.
+        self.p["word"], self.p["word_bias"] = self.room.joined[:, :HIDDEN], self.room.joined[:, HIDDEN]
+        self.free = {name: np.empty(shape, np.float32) for name, shape in SHAPES.items()}
         self.positions = 0
 
     def learn(self, context: np.ndarray, targets: np.ndarray) -> None:
         for start in range(0, len(targets), BATCH):
             part = slice(start, start + BATCH)
-            for name, g in gradients(self.p, context[part], targets[part]).items():
-                self.seen[name] += g * g
-                self.p[name] -= RATE * g / np.sqrt(self.seen[name])
+            for name, g in gradients(self.p, context[part], targets[part], self.room).items():
+                free, seen = self.free[name], self.seen[name]
+                np.multiply(g, g, out=free)
+                seen += free
+                np.sqrt(seen, out=free)
+                g *= RATE
+                g /= free
+                self.p[name] -= g
         self.positions += len(targets)
 
 
@@ -204,7 +289,7 @@ class Ids:
         return self._laid_out(texts, True)
 
     def _laid_out(self, texts: pa.Array, rare_too: bool) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
-        split = pc.split_pattern_regex(texts, "[\\x20\\x09-\\x0D]+")
+        split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         number = np.fromiter(map(self.of, words), np.int32, len(words))
@@ -235,13 +320,30 @@ def masked(starts: np.ndarray, n: int, turn: int, rounds: int) -> np.ndarray:
     return within % rounds == turn
 
 
+def packed(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """What ``laid_out`` gives as a binary for each text: its ids and the edges behind, two bytes each."""
+    values, ends = ids[starts[0] :].astype("<i2"), ((starts - starts[0]) * 2).astype(np.int64)
+    found = [None, pa.py_buffer(ends), pa.py_buffer(values)]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, found).cast(pa.binary())
+
+
+def unpacked(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The opposite of :func:`packed`."""
+    texts = texts.cast(pa.large_binary())
+    _, ends, values = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1] // 2
+    edges = len(OFFSETS) // 2
+    own = np.frombuffer(values, "<i2", ends[-1])[ends[0] :]
+    return np.concatenate([np.full(edges, EDGE, np.int32), own]), ends - ends[0] + edges
+
+
 def _context(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.stack([ids[at + offset] for offset in OFFSETS], axis=1)
+    return ids[at[:, None] + np.array(OFFSETS)]
 
 
-def _slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    ends = np.cumsum(pc.binary_length(rows["_text"]).to_numpy(zero_copy_only=False))
-    cuts = sorted({0, *(np.flatnonzero(np.diff(ends // SLICE)) + 1).tolist(), rows.num_rows})
+def _slices(rows: pa.RecordBatch, column: str = "_text", size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    ends = np.cumsum(pc.binary_length(rows[column]).to_numpy(zero_copy_only=False))
+    cuts = sorted({0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), rows.num_rows})
     for start, stop in zip(cuts, cuts[1:], strict=False):
         yield rows.slice(start, stop - start)
 
@@ -249,18 +351,39 @@ def _slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 # -- jobs ---------------------------------------------------------------------------------------
 
 
+def encoded(texts: DataFrame, words: Broadcast) -> DataFrame:
+    """``texts`` with ``_ids``, their :func:`packed` ids, and ``rare``, their words in buckets, for ``_text``."""
+    others = [name for name in texts.columns if name != "_text"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Ids(words.value)
+        for rows in batches:
+            for part in _slices(rows):
+                ids, starts, rare = known.with_rare(part["_text"])
+                columns = [*(part[name] for name in others), packed(ids, starts), rare]
+                yield pa.RecordBatch.from_arrays(columns, [*others, "_ids", "rare"])
+
+    kinds = [f"`{name}` {texts.schema[name].dataType.simpleString()}" for name in others]
+    columns = ", ".join([*kinds, "_ids binary", "rare array<struct<word: string, times: long>>"])
+    return texts.mapInArrow(tidy(encode), columns)
+
+
 def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameters:
-    """Parameters learned from the column ``_text`` of all rows, from each position once."""
+    """Parameters learned from all rows, from each position once.
+
+    The texts are in a column ``_text``, or in ``_ids`` as :func:`encoded` gives them.
+    """
     spark = texts.sparkSession
+    texts = texts if "_ids" in texts.columns else encoded(texts, words)
     parameters = initial()
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(parameters)
 
         def learn(batches: Iterator[pa.RecordBatch], turn=turn, shared=shared) -> Iterator[pa.RecordBatch]:
-            learner, known = Learner(shared.value), Ids(words.value)
+            learner = Learner(shared.value)
             for rows in batches:
-                for part in _slices(rows):
-                    ids, starts = known.laid_out(part["_text"])
+                for part in _slices(rows, "_ids", ID_SLICE):
+                    ids, starts = unpacked(part["_ids"])
                     at = np.flatnonzero((ids != EDGE) & masked(starts, len(ids), turn, rounds))
                     learner.learn(_context(ids, at), ids[at])
             if learner.positions:
@@ -270,7 +393,7 @@ def train(texts: DataFrame, words: Broadcast, rounds: int = ROUNDS) -> Parameter
                     [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["place", "value"]
                 )
 
-        learned = texts.select("_text").mapInArrow(tidy(learn), "place int, value double")
+        learned = texts.select("_ids").mapInArrow(tidy(learn), "place int, value double")
         rows = learned.groupBy("place").agg(F.sum("value").alias("value")).collect()  # a row a parameter
         if not rows:
             continue  # where every text is shorter than this turn's places
@@ -292,16 +415,17 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     counts = kept(word_counts(texts), "word-counts")
     frequent = _most_frequent(counts)
     words = docs.sparkSession.sparkContext.broadcast([row.word for row in frequent])
-    model = docs.sparkSession.sparkContext.broadcast(train(texts, words, rounds))
+    # A number for each row, which stays once it is written: ids may be NULL or repeated.
+    ids = kept(encoded(texts, words).withColumn("_row", F.monotonically_increasing_id()), "word-ids")
+    model = docs.sparkSession.sparkContext.broadcast(train(ids, words, rounds))
     # A word that is known has no bucket to share.
     log_sizes = np.zeros(VOCABULARY)
     log_sizes[FREQUENT:] = np.log(np.maximum(bucket_sizes(counts, frequent), 1))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Ids(words.value)
         for rows in batches:
-            for part in _slices(rows):
-                ids, starts, rare = known.with_rare(part["_text"])
+            for part in _slices(rows, "_ids", ID_SLICE):
+                ids, starts = unpacked(part["_ids"])
                 at = np.flatnonzero(ids != EDGE)
                 upto = np.zeros(len(at) + 1)
                 for start in range(0, len(at), CHUNK):
@@ -311,15 +435,15 @@ def score(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
                 np.cumsum(upto, out=upto)
                 bounds = np.searchsorted(at, starts)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(np.diff(bounds)), pa.array(np.diff(upto[bounds])), rare],
-                    ["doc_id", "n_words", "of_ids", "rare"],
+                    [part["_row"], part["doc_id"], pa.array(np.diff(bounds)), pa.array(np.diff(upto[bounds]))],
+                    ["_row", "doc_id", "n_words", "of_ids"],
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    columns = f"doc_id {kind}, n_words long, of_ids double, rare array<struct<word: string, times: long>>"
-    # A number for each row, which stays once it is written: ids may be NULL or repeated.
-    found = kept(texts.mapInArrow(tidy(scored), columns).withColumn("_row", F.monotonically_increasing_id()), "scores")
-    pairs = found.select("_row", F.inline("rare")).join(counts, "word")
+    columns = f"_row long, doc_id {kind}, n_words long, of_ids double"
+    found = kept(ids.select("_row", "doc_id", "_ids").mapInArrow(tidy(scored), columns), "scores")
+    # A word that occurs once adds the logarithm of 1, which is nothing.
+    pairs = ids.select("_row", F.inline("rare")).join(counts.where("n > 1"), "word")
     shares = pairs.groupBy("_row").agg(F.sum(F.col("times") * F.ln("n")).alias("_shares"))
     log_likelihood = F.col("of_ids") + F.coalesce("_shares", F.lit(0.0))
     mean = F.col("log_likelihood") / F.nullif("n_words", F.lit(0).cast("long"))

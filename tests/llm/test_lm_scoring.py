@@ -172,3 +172,50 @@ def test_words_at_skipped_places_are_learned(spark):
     found = lm.log_probabilities(model, lm._context(ids, at), ids[at])
     by_word = [found[ids[at] == k].mean() for k in range(8)]
     assert min(by_word) > np.log(0.05)
+
+
+def test_texts_are_split_once(spark, monkeypatch):
+    """The rounds and the scores read ids, from which each text's places come back whatever a batch begins with."""
+    texts = ["a", "", "b a zz\t", None, " \n", "zz " * 40]
+    seen = []
+    monkeypatch.setattr(lm, "train", lambda rows, *_: seen.append(rows) or lm.initial())
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.n_words for r in lm.score(frame).collect()} == {k: len(words(t)) for k, t in enumerate(texts)}
+    (rows,) = seen
+    assert "_text" not in rows.columns and "_ids" in rows.columns
+
+    ids, starts = lm.Ids(["a", "b"]).laid_out(pa.array([t or "" for t in texts]))
+    stored = lm.packed(ids, starts)
+    for first in range(len(texts) + 1):
+        own, begin = lm.unpacked(stored[first:])
+        assert own.tolist() == [lm.EDGE] * 2 + ids[starts[first] :].tolist()
+        assert (begin - 2).tolist() == (starts[first:] - starts[first]).tolist()
+
+
+def test_steps_are_those_of_the_formula(monkeypatch):
+    """Arrays that steps share keep nothing of the step before, also where classes don't occur in one."""
+    monkeypatch.setattr(lm, "BATCH", 50)
+    rng = np.random.default_rng(1)
+    context, targets = rng.integers(0, lm.VOCABULARY + 1, (170, 4)), rng.integers(0, lm.VOCABULARY, 170)
+    targets[50:100] //= 8
+    learner, p = lm.Learner(lm.initial()), lm.initial()
+    learner.learn(context, targets)
+    seen = {name: np.full(shape, 1e-6, np.float32) for name, shape in lm.SHAPES.items()}
+    for start in range(0, 170, 50):
+        for name, g in lm.gradients(p, context[start : start + 50], targets[start : start + 50]).items():
+            seen[name] += g * g
+            p[name] = p[name] - lm.RATE * g / np.sqrt(seen[name])
+    assert lm.flat(learner.p) == pytest.approx(lm.flat(p), abs=1e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 100])
+def test_large_logits(scale):
+    """Parameters whose exponentials would be too large."""
+    rng = np.random.default_rng(3)
+    p = lm.shaped(rng.normal(size=len(lm.flat(lm.initial()))) * 0.3)
+    p["word"], p["class"] = p["word"] * scale, p["class"] * scale
+    ids = rng.integers(0, lm.VOCABULARY, 30)
+    at = np.arange(2, 32)
+    laid_out = np.concatenate([[lm.EDGE] * 2, ids, [lm.EDGE] * 2])
+    found = lm.log_probabilities(p, lm._context(laid_out, at), ids).sum()
+    assert found == pytest.approx(naive(p, ids.tolist()), rel=1e-4)
